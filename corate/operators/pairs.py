@@ -50,14 +50,14 @@ def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,
     sides have the same rows per key (a self-join with renamed columns), so
     the key counts are computed once.
     """
-    lb = hot_keys(left, key, block_rows, "_lb", max_hot_keys)
+    lb = hot_keys(left, key, block_rows, "__nl", max_hot_keys)
     if same_keys:
-        hot = lb.withColumn("_rb", F.col("_lb"))
+        hot = lb.withColumn("__nr", F.col("__nl"))
     else:
-        rb = hot_keys(right, key, block_rows, "_rb", max_hot_keys)
+        rb = hot_keys(right, key, block_rows, "__nr", max_hot_keys)
         hot = lb.join(rb, key, "full")
-    hot = F.broadcast(hot.select(key, F.coalesce("_lb", F.lit(1)).alias("_lb"),
-                                 F.coalesce("_rb", F.lit(1)).alias("_rb")))
+    hot = F.broadcast(hot.select(key, F.coalesce("__nl", F.lit(1)).alias("__nl"),
+                                 F.coalesce("__nr", F.lit(1)).alias("__nr")))
 
     def side(df: DataFrame, own: str, other: str, split: str, own_name: str,
              other_name: str) -> DataFrame:
@@ -69,6 +69,6 @@ def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,
                                                              (n_other - 1).cast("bigint"))))
                 .drop(own, other))
 
-    lside = side(left, "_lb", "_rb", left_split, "_bl", "_br")
-    rside = side(right, "_rb", "_lb", right_split, "_br", "_bl")
-    return lside.join(rside, [key, "_bl", "_br"]).drop("_bl", "_br")
+    lside = side(left, "__nl", "__nr", left_split, "__bl", "__br")
+    rside = side(right, "__nr", "__nl", right_split, "__br", "__bl")
+    return lside.join(rside, [key, "__bl", "__br"]).drop("__bl", "__br")
