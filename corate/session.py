@@ -60,3 +60,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="corate-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def materialize(df, label: str):
+    """Write ``df`` as Parquet under the checkpoint directory and read it back.
+
+    Cuts the lineage of an intermediate that several later steps scan (it
+    is computed once, and a lost executor re-reads files instead of
+    recomputing the whole upstream plan). The folder is the shared
+    ``spark.checkpoint.dir``, never a machine-local one on a cluster.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/corate-{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
