@@ -39,7 +39,7 @@ def hot_keys(df: DataFrame, key: str, block_rows: int, out: str,
 def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,
                  right_split: str, block_rows: int = DEFAULT_BLOCK_ROWS,
                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                 same_keys: bool = False) -> DataFrame:
+                 same_keys: bool = False, num_partitions: int | None = None) -> DataFrame:
     """Inner join of ``left`` and ``right`` on ``key`` that stays balanced
     when a key is hot on one or both sides.
 
@@ -71,4 +71,10 @@ def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,
 
     lside = side(left, "__nl", "__nr", left_split, "__bl", "__br")
     rside = side(right, "__nr", "__nl", right_split, "__br", "__bl")
-    return lside.join(rside, [key, "__bl", "__br"]).drop("__bl", "__br")
+    # The join's output (pairs) is far larger than its input, so AQE must not
+    # coalesce its partitions by input size: fix the count on both sides
+    # (same count and keys, so the join adds no exchange of its own).
+    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [key, "__bl", "__br"]
+    return (lside.repartition(n, *keys).join(rside.repartition(n, *keys), keys)
+            .drop("__bl", "__br"))
