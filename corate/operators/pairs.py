@@ -78,3 +78,26 @@ def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,
     keys = [key, "__bl", "__br"]
     return (lside.repartition(n, *keys).join(rside.repartition(n, *keys), keys)
             .drop("__bl", "__br"))
+
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def fanout_join(small: DataFrame, big: DataFrame, key: str, small_split: str,
+                big_split: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Join a side that is usually small (query users' ratings, neighbour
+    lists of a batch, a history) with a large side.
+
+    The small side is written once (it is typically the end of a longer
+    plan) and its rows are counted: at most ``max_broadcast_rows`` rows are
+    broadcast, so the large side streams through without a shuffle and a
+    hot key costs nothing extra. Beyond that bound the join is a
+    :func:`blocked_join`.
+    """
+    from corate.session import materialize
+
+    small = materialize(small, "join-side")
+    if small.count() <= max_broadcast_rows:
+        return big.join(F.broadcast(small), key)
+    return blocked_join(small, big, key, small_split, big_split, block_rows=block_rows)

@@ -3,8 +3,9 @@ G7, G8, W2, W3).
 
 The reference scores one query user at a time against every other user.
 Here all query users are scored in one job: the query users' ratings are
-joined on item with everyone's ratings (:func:`blocked_join`, hot items
-split), so only users sharing at least one item meet, and per (query,
+joined on item with everyone's ratings (:func:`fanout_join`: broadcast
+when the query side is within a row bound, else hot items split), so only
+users sharing at least one item meet, and per (query,
 other) pair one aggregation yields
 
 * ``common``  number of shared items,
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from corate import ITEM, RATING, USER
 from corate.functions.measures import agreement, l1_from_overlap
 from corate.operators.indexing import dense_index
-from corate.operators.pairs import DEFAULT_BLOCK_ROWS, blocked_join
+from corate.operators.pairs import DEFAULT_BLOCK_ROWS, DEFAULT_BROADCAST_ROWS, fanout_join
 from corate.operators.topk import top_k
 
 QUERY = "query_user"
@@ -52,13 +53,14 @@ def user_vectors(ratings: DataFrame, query_users: DataFrame, user: str = USER) -
 
 def user_overlap(ratings: DataFrame, query_users: DataFrame, user: str = USER,
                  item: str = ITEM, rating: str = RATING,
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                 block_rows: int = DEFAULT_BLOCK_ROWS,
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``query_user, user_id, common, gain, agree`` for every other user
     sharing at least one item with a query user (self excluded, P4)."""
     q = user_vectors(ratings, query_users, user).select(
         F.col(user).alias(QUERY), F.col(item), F.col(rating).alias("_a"))
     o = ratings.select(F.col(user), F.col(item), F.col(rating).alias("_b"))
-    j = blocked_join(q, o, item, QUERY, user, block_rows=block_rows)
+    j = fanout_join(q, o, item, QUERY, user, max_broadcast_rows, block_rows)
     j = j.where(F.col(QUERY) != F.col(user))
     a, b = F.col("_a"), F.col("_b")
     d = F.abs(a - b)

@@ -199,3 +199,22 @@ def test_pair_similarity_block_split_and_symmetry(spark):
     assert a == b
     assert all(x[0] < x[1] for x in a)
     assert all(v is None or -1 - 1e-12 <= v <= 1 + 1e-12 for x in a for v in (x[3], x[4]))
+
+
+def test_votes_predictions_and_overlap_unchanged_by_block_split(spark):
+    from corate.operators.user_knn import user_overlap
+    data = random_triples(9, users=15, items=12, per_user=(2, 10))
+    r = ratings_df(spark, data)
+    q = r.select("user_id").where("user_id < 4").distinct()
+    a = sorted(tuple(x) for x in user_overlap(r, q).collect())
+    b = sorted(tuple(x) for x in user_overlap(r, q, block_rows=2, max_broadcast_rows=0).collect())
+    assert a == b and a
+    knn = agreement_knn(r, q, k=4)
+    assert sorted(tuple(x) for x in vote_recommend(knn, r, 3).collect()) == \
+        sorted(tuple(x) for x in vote_recommend(knn, r, 3, block_rows=2,
+                                                max_broadcast_rows=0).collect())
+    nb = item_neighbours(r, "cosine", k=5)
+    hist = r.where("user_id < 4")
+    assert sorted(tuple(x) for x in predict_ratings(hist, nb).collect()) == \
+        sorted(tuple(x) for x in predict_ratings(hist, nb, block_rows=2,
+                                                 max_broadcast_rows=0).collect())
