@@ -97,8 +97,9 @@ def evaluate_item(spark, a):
     r = load_ratings(spark, a.input, a.format)
     test_users = active_users(r, a.users).select(USER)
     test, train = holdout(r, test_users, a.k)
-    nb = item_neighbours(train, a.measure, k=a.neighbours, fill=not a.sparse)
-    top = item_based_recommend(train.join(test_users, USER, "left_semi"), nb, a.n)
+    history = train.join(test_users, USER, "left_semi")
+    nb = item_neighbours(train, a.measure, k=a.neighbours, fill=not a.sparse, items=history)
+    top = item_based_recommend(history, nb, a.n)
     per = (evaluate.euclidean_per_user(top, test) if a.metric == "euclidean"
            else evaluate.jaccard_per_user(top, test))
     value = "error" if a.metric == "euclidean" else "jaccard"

@@ -218,3 +218,16 @@ def test_votes_predictions_and_overlap_unchanged_by_block_split(spark):
     assert sorted(tuple(x) for x in predict_ratings(hist, nb).collect()) == \
         sorted(tuple(x) for x in predict_ratings(hist, nb, block_rows=2,
                                                  max_broadcast_rows=0).collect())
+
+
+@pytest.mark.parametrize("fill", [True, False])
+def test_restricted_lists_equal_rows_of_full_lists(spark, fill):
+    data = random_triples(11, users=14, items=30, per_user=(1, 7))
+    r = ratings_df(spark, data)
+    wanted = spark.createDataFrame([(100,), (101,), (107,), (129,), (999,)], "item_id long")
+    for m in ("cosine", "pearson", "adjusted_cosine"):
+        full = item_neighbours(r, m, k=6, fill=fill)
+        part = item_neighbours(r, m, k=6, fill=fill, items=wanted)
+        want = sorted(tuple(x) for x in full.join(wanted, "item_id", "left_semi").collect())
+        got = sorted(tuple(x) for x in part.collect())
+        assert got == want and got
