@@ -37,3 +37,44 @@ def test_streaming_ingest_appends_parsed_triples(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted(tuple(x) for x in spark.read.parquet(str(tmp_path / "table")).collect())
     assert got == [(1, 2, 5.0), (3, 4, 2.0)]
+
+
+def test_holdout_evaluations_and_pair_job(spark, tmp_path, capsys):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for u in range(10):
+        for i in rnd.sample(range(12), 3 + u % 6):
+            rows.append((f"U{u}", f"I{i:02d}", rnd.randint(1, 5)))
+    src = tmp_path / "reviews.json"
+    src.write_text("\n".join('{"reviewerID":"%s","asin":"%s","overall":%d.0}' % x
+                             for x in rows) + "\n")
+    out = str(tmp_path / "etl")
+    jobs.main(["etl", str(src), out])
+    ho = str(tmp_path / "ho")
+    jobs.main(["holdout", f"{out}/triples", ho, "--users", "3", "--k", "2",
+               "--user-index", f"{out}/user_index"])
+    test = spark.read.parquet(f"{ho}/test.parquet")
+    train = spark.read.parquet(f"{ho}/train.parquet")
+    assert test.count() == 6 and train.count() + 6 == len(rows)
+    assert train.join(test, ["user_id", "item_id"]).count() == 0
+    assert spark.read.text(f"{ho}/test_user_names").count() == 3
+
+    capsys.readouterr()
+    jobs.main(["evaluate-item", f"{out}/triples", "--metric", "euclidean", "--users", "3",
+               "--k", "2", "--n", "4", "--neighbours", "5"])
+    shown = capsys.readouterr().out
+    assert "n_users" in shown and "mean_error" in shown and "|3      |" in shown
+
+    jobs.main(["recommend-knn", f"{ho}/test_user_names", f"{ho}/train.parquet",
+               f"{out}/user_index", f"{out}/item_index", str(tmp_path / "rec"),
+               "--k", "3", "--n", "4"])
+    capsys.readouterr()
+    jobs.main(["evaluate-knn", f"{ho}/test_triples", str(tmp_path / "rec"),
+               f"{out}/user_index", f"{out}/item_index"])
+    shown = capsys.readouterr().out
+    assert "mean_jaccard" in shown and "|3      |" in shown
+
+    jobs.main(["pair-similarity", f"{out}/triples", str(tmp_path / "pairs")])
+    p = spark.read.parquet(str(tmp_path / "pairs"))
+    assert p.count() > 0 and p.where("item_a >= item_b").count() == 0
