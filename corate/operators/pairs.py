@@ -28,12 +28,18 @@ DEFAULT_MAX_HOT_KEYS = 1_000_000
 
 def hot_keys(df: DataFrame, key: str, block_rows: int, out: str,
              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
-    """``(key, blocks)`` for keys with more than ``block_rows`` rows."""
+    """``(key, blocks)`` for keys with more than ``block_rows`` rows.
+
+    Beyond ``max_hot_keys`` the largest keys are kept, ties by key: the set
+    is deterministic, so every evaluation (both join sides, a task retried
+    after a lost executor) sees the same blocks per key.
+    """
     n = F.count(F.lit(1))
     return (df.groupBy(key).agg(n.alias("_n"))
             .where(F.col("_n") > block_rows)
-            .select(key, F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(out))
-            .limit(max_hot_keys))
+            .orderBy(F.col("_n").desc(), F.col(key).asc())
+            .limit(max_hot_keys)
+            .select(key, F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(out)))
 
 
 def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,

@@ -231,3 +231,14 @@ def test_restricted_lists_equal_rows_of_full_lists(spark, fill):
         want = sorted(tuple(x) for x in full.join(wanted, "item_id", "left_semi").collect())
         got = sorted(tuple(x) for x in part.collect())
         assert got == want and got
+
+
+def test_blocked_join_with_capped_hot_keys_keeps_all_rows(spark):
+    data = random_triples(12, users=6, items=25, per_user=(8, 20))
+    r = ratings_df(spark, data)
+    a = r.select("user_id", F.col("item_id").alias("ia"))
+    b = r.select("user_id", F.col("item_id").alias("ib"))
+    plain = sorted(tuple(x) for x in a.join(b, "user_id").collect())
+    for cap in (1, 2):
+        got = blocked_join(a, b, "user_id", "ia", "ib", block_rows=3, max_hot_keys=cap)
+        assert sorted(tuple(x) for x in got.select("user_id", "ia", "ib").collect()) == plain
