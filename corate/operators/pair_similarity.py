@@ -22,6 +22,7 @@ from corate import ITEM, RATING, USER
 from corate.functions.measures import bucket_jaccard, nonneg_zero, pearson_from_sums
 from corate.operators.clean import truncate_ratings, with_bucket_count
 from corate.operators.pairs import DEFAULT_BLOCK_ROWS, blocked_join
+from corate.session import materialize
 
 
 def co_rating_pairs(ratings: DataFrame, user: str = USER, item: str = ITEM,
@@ -32,7 +33,8 @@ def co_rating_pairs(ratings: DataFrame, user: str = USER, item: str = ITEM,
     r = ratings.select(user, item, rating)
     if truncate:
         r = truncate_ratings(r, rating)
-    rc = with_bucket_count(r, item, rating, out="_c")
+    # read by the hot-key counts and both join sides: computed and written once
+    rc = materialize(with_bucket_count(r, item, rating, out="_c"), "pair-rated")
 
     def side(p: str) -> DataFrame:
         return rc.select(F.col(user), F.col(item).alias(f"item_{p}"),

@@ -412,32 +412,32 @@ def q_item_mean_centred(spark: SparkSession, sf: str) -> DataFrame:
 @register("co_rating_pairs", f"""WITH {PAIRS}
 SELECT user_id, item_a, item_b, r1, c1, r2, c2 FROM pairs""")
 def q_co_rating_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return ps.co_rating_pairs(order_ratings(spark, sf))
+    return ps.co_rating_pairs(_ratings(spark, sf))
 
 
 @register("pair_aggregates", f"""WITH {PAIRS}
 SELECT item_a, item_b, n, s1, s2, q1, q2, dot, c1_max, c2_max FROM agg""")
 def q_pair_aggregates(spark: SparkSession, sf: str) -> DataFrame:
-    return ps.pair_aggregates(ps.co_rating_pairs(order_ratings(spark, sf)))
+    return ps.pair_aggregates(ps.co_rating_pairs(_ratings(spark, sf)))
 
 
 @register("pair_pearson", f"WITH {PAIRS} SELECT item_a, item_b, {PEARSON_SQL} AS pearson FROM agg")
 def q_pair_pearson(spark: SparkSession, sf: str) -> DataFrame:
-    agg = ps.pair_aggregates(ps.co_rating_pairs(order_ratings(spark, sf)))
+    agg = ps.pair_aggregates(ps.co_rating_pairs(_ratings(spark, sf)))
     return agg.select("item_a", "item_b", ps.pearson_col().alias("pearson"))
 
 
 @register("pair_cosine", f"""WITH {PAIRS}
 SELECT item_a, item_b, {COSINE_SQL} AS cosine, {COSINE_UNROOTED_SQL} AS cosine_unrooted FROM agg""")
 def q_pair_cosine(spark: SparkSession, sf: str) -> DataFrame:
-    agg = ps.pair_aggregates(ps.co_rating_pairs(order_ratings(spark, sf)))
+    agg = ps.pair_aggregates(ps.co_rating_pairs(_ratings(spark, sf)))
     return agg.select("item_a", "item_b", ps.cosine_col().alias("cosine"),
                       ps.cosine_unrooted_col().alias("cosine_unrooted"))
 
 
 @register("pair_bucket_jaccard", f"WITH {PAIRS} SELECT item_a, item_b, {JACCARD_SQL} AS jaccard FROM agg")
 def q_pair_bucket_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    agg = ps.pair_aggregates(ps.co_rating_pairs(order_ratings(spark, sf)))
+    agg = ps.pair_aggregates(ps.co_rating_pairs(_ratings(spark, sf)))
     return agg.select("item_a", "item_b", ps.jaccard_col().alias("jaccard"))
 
 
@@ -446,7 +446,7 @@ SELECT item_a, item_b, n, {PEARSON_SQL} AS pearson, {COSINE_SQL} AS cosine,
        {COSINE_UNROOTED_SQL} AS cosine_unrooted, {JACCARD_SQL} AS jaccard
 FROM agg""")
 def q_pair_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    return ps.pair_similarity(order_ratings(spark, sf))
+    return ps.pair_similarity(_ratings(spark, sf))
 
 
 # --------------------------------------------------------------------------
@@ -454,17 +454,17 @@ def q_pair_similarity(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("item_cosine_topk", _topk_items_sql(_cosine_sims("ratings")))
 def q_item_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return item_neighbours(order_ratings(spark, sf), "cosine", k=K_ITEM, fill=True)
+    return item_neighbours(_ratings(spark, sf), "cosine", k=K_ITEM, fill=True)
 
 
 @register("item_adjusted_cosine_topk", _topk_items_sql(_adjusted_sims("ratings")))
 def q_item_adjusted_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return item_neighbours(order_ratings(spark, sf), "adjusted_cosine", k=K_ITEM, fill=True)
+    return item_neighbours(_ratings(spark, sf), "adjusted_cosine", k=K_ITEM, fill=True)
 
 
 @register("item_pearson_topk", _topk_items_sql(_pearson_sims("ratings")))
 def q_item_pearson_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return item_neighbours(order_ratings(spark, sf), "pearson", k=K_ITEM, fill=True)
+    return item_neighbours(_ratings(spark, sf), "pearson", k=K_ITEM, fill=True)
 
 
 # --------------------------------------------------------------------------
