@@ -378,7 +378,7 @@ FROM ratings r JOIN (SELECT item_id, rating, count(*) AS bucket_count
                      FROM ratings GROUP BY item_id, rating) c
   ON c.item_id = r.item_id AND c.rating = r.rating""")
 def q_rating_bucket_count(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.with_bucket_count(order_ratings(spark, sf)).select(
+    return clean.with_bucket_count(_ratings(spark, sf)).select(
         USER, ITEM, RATING, "bucket_count")
 
 
@@ -395,7 +395,7 @@ SELECT r.user_id, r.item_id, r.rating, r.rating - m.s / m.n AS centred
 FROM ratings r JOIN (SELECT user_id, sum(rating) AS s, count(*) AS n
                      FROM ratings GROUP BY user_id) m ON m.user_id = r.user_id""")
 def q_user_mean_centred(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.mean_centred(order_ratings(spark, sf), by=USER)
+    return clean.mean_centred(_ratings(spark, sf), by=USER)
 
 
 @register("item_mean_centred", f"""WITH {RATINGS}
@@ -403,7 +403,7 @@ SELECT r.user_id, r.item_id, r.rating, r.rating - m.s / m.n AS centred
 FROM ratings r JOIN (SELECT item_id, sum(rating) AS s, count(*) AS n
                      FROM ratings GROUP BY item_id) m ON m.item_id = r.item_id""")
 def q_item_mean_centred(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.mean_centred(order_ratings(spark, sf), by=ITEM)
+    return clean.mean_centred(_ratings(spark, sf), by=ITEM)
 
 
 # --------------------------------------------------------------------------
