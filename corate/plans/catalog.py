@@ -340,7 +340,8 @@ ii AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS id
 SELECT ui.id AS user_id, ii.id AS item_id, n.overall AS rating
 FROM named n JOIN ui ON ui.key = n.reviewerID JOIN ii ON ii.key = n.asin""")
 def q_encode_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    named = named_order_ratings(spark, sf)
+    # read by both index builds and the encoding: written once
+    named = materialize(named_order_ratings(spark, sf), "named-ratings")
     ui = indexing.build_index(named, "reviewerID")
     ii = indexing.build_index(named, "asin")
     enc = indexing.encode(named, ui, "reviewerID", USER)

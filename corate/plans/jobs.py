@@ -24,7 +24,7 @@ from corate.operators.pair_similarity import pair_similarity
 from corate.operators.recommend import item_based_recommend, vote_recommend
 from corate.operators.split import active_users, holdout, holdout_users
 from corate.operators.user_knn import QUERY, agreement_knn, l1_knn
-from corate.session import DEFAULT_CONF, ensure_checkpoint_dir
+from corate.session import DEFAULT_CONF, ensure_checkpoint_dir, materialize
 from corate.sinks.text import index_lines, recommendation_lines, triple_lines, write_lines, \
     write_parquet
 from corate.sources.json import read_reviews
@@ -44,7 +44,8 @@ def load_ratings(spark: SparkSession, path: str, fmt: str = "auto",
 
 def etl(spark, a):
     """JSON reviews -> user/item index files + encoded triples."""
-    reviews = read_reviews(spark, a.input)
+    # parsed once: read by both index builds and the encoding
+    reviews = materialize(read_reviews(spark, a.input), "reviews")
     ui = indexing.build_index(reviews, "reviewerID")
     ii = indexing.build_index(reviews, "asin")
     enc = indexing.encode(indexing.encode(reviews, ui, "reviewerID", USER), ii, "asin", ITEM)
