@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import line_dedup, quality
+from corate.llm import chat, jaccard_join, licenses, line_dedup, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
+    "op2_chat_formatting": chat.query,
     "op4_line_dedup": line_dedup.query,
+    "op7_mixing": mixing.query,
+    "op8_license_scan": licenses.query,
+    "op10_jaccard_join": jaccard_join.query,
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality.SQL,
+    "op2_chat_formatting": chat.SQL,
     "op4_line_dedup": line_dedup.SQL,
+    "op7_mixing": mixing.SQL,
+    "op8_license_scan": licenses.SQL,
 }
