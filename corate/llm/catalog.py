@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import chat, jaccard_join, licenses, line_dedup, mixing, quality
+from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
     "op2_chat_formatting": chat.query,
     "op4_line_dedup": line_dedup.query,
+    "op6_decontamination": decontaminate.query,
     "op7_mixing": mixing.query,
     "op8_license_scan": licenses.query,
     "op10_jaccard_join": jaccard_join.query,
