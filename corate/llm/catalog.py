@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, mixing, quality
+from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, mixing, quality, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": decontaminate.query,
     "op7_mixing": mixing.query,
     "op8_license_scan": licenses.query,
+    "op9_suffix_dedup": suffix_dedup.query,
     "op10_jaccard_join": jaccard_join.query,
 }
 
