@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, mixing, quality, site_tree, suffix_dedup
+from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, mixing, pii, quality, site_tree, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
     "op2_chat_formatting": chat.query,
     "op3_html_extraction": site_tree.query,
     "op4_line_dedup": line_dedup.query,
+    "op5_pii": pii.query,
     "op6_decontamination": decontaminate.query,
     "op7_mixing": mixing.query,
     "op8_license_scan": licenses.query,

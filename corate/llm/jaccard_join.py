@@ -111,7 +111,7 @@ def _summaries(segments):
                 n.append(len(s))
                 node.append(node_of(s) if len(s) else None)
                 value.append(set_keys(s, segments)[1] if len(s) else 0)
-            yield _batch([("doc_id", b.column(0)), ("n", pa.array(n, pa.int64())),
+            yield _batch([("doc_id", b.column(0)), ("version", b.column(2)), ("n", pa.array(n, pa.int64())),
                           ("node", pa.array(node, pa.int64())), ("value", pa.array(value, pa.int64()))])
     return run
 
@@ -257,10 +257,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``(doc_id, n_shingles, class_id, component_id)`` per row of ``docs``:
     ``class_id`` names the row's set (null: empty), ``component_id`` is the
     smallest doc_id reachable by links."""
-    docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
-                       text_of(F.col(f"`{text_col}`")).alias("text"))
-    rows = materialize(docs.mapInArrow(_summaries(segments), "doc_id bigint, n bigint, node bigint, value bigint"),
-                       "shingle-sets")
+    return (_row_components(docs, id_col, text_col, segments)
+            .select("doc_id", F.col("n").alias("n_shingles"), F.col("node").alias("class_id"),
+                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+                    .alias("component_id")))
+
+
+def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> DataFrame:
+    """``(doc_id, version, n, node, root, component_id)`` per row of ``docs``:
+    ``version`` is a hash of the text, ``root`` names the component."""
+    text = text_of(F.col(f"`{text_col}`"))
+    docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"),
+                       F.xxhash64(text).alias("version"))
+    rows = materialize(docs.mapInArrow(
+        _summaries(segments), "doc_id bigint, version bigint, n bigint, node bigint, value bigint"), "shingle-sets")
     classes = materialize(rows.where("node IS NOT NULL").groupBy("node")
                           .agg(F.first("n").alias("n"), F.first("value").alias("value"),
                                F.min("doc_id").alias("least")), "classes")
@@ -315,11 +325,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = classes.select("node", "least").join(whole, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(linked.join(least, "root").select("node", "component_id"), "named-classes")
-    return (rows.join(named, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.col("node").alias("class_id"),
-                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id")))
+    named = materialize(linked.join(least, "root").select("node", "root", "component_id"), "named-classes")
+    return rows.drop("value").join(named, "node", "left").select(
+        "doc_id", "version", "n", "node", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest
+    (doc_id with null last, hash of the text), of equal rows one. Rows with
+    an empty set link with nothing and all stay."""
+    found = materialize(_row_components(docs, id_col, text_col, SEGMENTS), "row-components")
+    # minima are pre-aggregated: a component may hold very many rows
+    best = (found.where("root IS NOT NULL").groupBy("root")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                                F.col("version").alias("v"))).alias("m"))
+            .select(F.col("m.id").alias("keep_id"), F.col("m.v").alias("keep_v")))
+    empty = found.where("root IS NULL").select(F.col("doc_id").alias("keep_id"), F.col("version").alias("keep_v"))
+    best = materialize(best.withColumn("one", F.lit(True)).unionByName(
+        empty.distinct().withColumn("one", F.lit(False))), "component-keepers")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{id_col}`").cast("bigint").alias("i"),
+                       F.xxhash64(text_of(F.col(f"`{text_col}`"))).alias("v"))
+    kept = rows.join(best, rows.i.eqNullSafe(best.keep_id) & (rows.v == best.keep_v))
+    if not found.groupBy("doc_id", "version").count().where("count > 1").isEmpty():
+        kept = kept.where("one").dropDuplicates(["i", "v"]).unionByName(kept.where("NOT one"))
+    return kept.select("row.*")
 
 
 def query(spark, sf_dir) -> DataFrame:

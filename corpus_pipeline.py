@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import line_dedup, quality
+from corate.llm import decontaminate, jaccard_join, line_dedup, mixing, quality
 from corate.llm.common import table
 from corate.session import materialize
 
@@ -26,9 +26,28 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(docs)
 
 
+def jaccard_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (the smallest doc_id)."""
+    return jaccard_join.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item stands."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: per document its size, its source's size and target, and the
+    words taken."""
+    return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", dedup_lines),
+    ("jaccard_join", jaccard_groups),
+    ("decontamination", decontamination),
+    ("mixing", mix_sources),
 ]
 
 #: The n-gram join's components have no SQL form: tested against brute force.
