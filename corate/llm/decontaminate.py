@@ -96,6 +96,8 @@ def _hits(bits, short_lengths):
                     ok = in_filter(bits.value, h)
                     got.append((p[ok], h[ok]))
                 p, h = (np.concatenate(x) for x in zip(*got, strict=True))
+                if not len(p):
+                    continue
                 order = np.argsort(text[p], kind="stable")
                 p, h = p[order], h[order]
                 which, start = np.unique(text[p], return_index=True)
