@@ -1,7 +1,7 @@
 """Column-expression building blocks (pure ``pyspark.sql.functions``)."""
 
 from corate.functions.measures import (  # noqa: F401
-    agreement, bucket_jaccard, centred_pearson_from_sums, cosine,
+    agreement, bucket_jaccard, cosine,
     fixed_point, l1_from_overlap, nonneg_zero, pearson_from_sums, ratio_or_zero,
 )
 from corate.functions.parsing import (  # noqa: F401

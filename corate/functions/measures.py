@@ -36,24 +36,21 @@ def pearson_from_sums(n: Column, dot: Column, s1: Column, s2: Column,
     return F.when(div > 0, nonneg_zero((n * dot - s1 * s2) / div))
 
 
-def centred_pearson_from_sums(c: Column, dot: Column, sa_c: Column, sb_c: Column,
-                              na: Column, sa: Column, qa: Column,
-                              nb: Column, sb: Column, qb: Column) -> Column:
-    """Item Pearson with full-column means (G3), exact up to the last step.
+def exact_sums(x: Column, name: str) -> list[Column]:
+    """Aggregates whose :func:`exact_total` is the sum of the longs ``x``.
 
-    Means and norms use all raters of each item, the dot product only the
-    c common raters. With N, S, Q the count, sum and sum of squares of an
-    item and primes the sums over common raters:
+    Sums of doubles depend on their order beyond 2^53. The high and the low
+    part (20 bits) of each value are summed as longs instead, which is exact
+    for 4e5 values of the largest size and, for products of 1e-6 fixed-point
+    deviations (below 2^44), for 5e11 of them.
+    """
+    return [F.sum(F.shiftright(x, 20)).alias(f"{name}_hi"),
+            F.sum(x.bitwiseAND(F.lit((1 << 20) - 1))).alias(f"{name}_lo")]
 
-        num = Na*Nb*dot - Na*Sb*sum'a - Nb*Sa*sum'b + c*Sa*Sb
-        den = sqrt(Na*(Na*Qa - Sa^2)) * sqrt(Nb*(Nb*Qb - Sb^2))
 
-    which equals sum'((a-mean_a)(b-mean_b)) / (|a-mean_a| |b-mean_b|) but has
-    no rounding while the inputs are integers.
-    """
-    num = na * nb * dot - na * sb * sa_c - nb * sa * sb_c + c * sa * sb
-    den = F.sqrt(na * (na * qa - sa * sa)) * F.sqrt(nb * (nb * qb - sb * sb))
-    return F.when(den > 0, nonneg_zero(num / den))
+def exact_total(name: str) -> Column:
+    """The total of :func:`exact_sums` as a double, rounded once."""
+    return F.col(f"{name}_hi").cast("double") * F.lit(float(1 << 20)) + F.col(f"{name}_lo").cast("double")
 
 
 def bucket_jaccard(n: Column, c1_max: Column, c2_max: Column) -> Column:

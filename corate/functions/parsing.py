@@ -28,5 +28,11 @@ def to_long(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Rating from text; NULL when not a number."""
-    return text.try_cast("double")
+    """Rating from text; NULL when not a finite number (a NaN or an infinity
+    would sort before every rating and spoil its item's sums)."""
+    return finite(text.try_cast("double"))
+
+
+def finite(x: Column) -> Column:
+    """``x``, NULL for NaN and the infinities."""
+    return F.when(F.abs(x) < F.lit(float("inf")), x)

@@ -2,9 +2,10 @@
 
 Per-key statistics are computed with ``groupBy`` (partial aggregation before
 the shuffle, so a key holding a third of the rows costs one small row per
-map task) and joined back. The join is left to Spark: AQE broadcasts the
-statistics when their measured size is small and otherwise splits a skewed
-key of the row side (``spark.sql.adaptive.skewJoin``). No per-key window is
+map task), written, and joined back as a plain scan: Spark broadcasts them
+when their files are small, and otherwise both sides of the join are plain
+shuffles, of which adaptive execution splits a skewed key (it does not if an
+aggregate stands between the join and its shuffle). No per-key window is
 used, because a window keeps a whole key in one task.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corate import ITEM, RATING, USER
 from corate.functions.measures import fixed_point
+from corate.session import materialize
 
 _POLICIES = ("max", "min", "avg", "last")
 
@@ -57,32 +59,24 @@ def truncate_ratings(df: DataFrame, rating: str = RATING) -> DataFrame:
 
 def rating_histogram(df: DataFrame, item: str = ITEM, rating: str = RATING,
                      levels=(1, 2, 3, 4, 5)) -> DataFrame:
-    """Per item, how many ratings have each value (A4): ``r1..r5`` columns."""
-    aggs = [F.count_if(F.col(rating) == F.lit(float(v))).alias(f"r{v}") for v in levels]
-    return df.groupBy(item).agg(*aggs)
+    """Per item, how many ratings have each value (A4): ``r1..r5`` columns.
+    A rating that is none of ``levels`` fails the job, as it does in the
+    reference."""
+    r = F.when(F.col(rating).isin([float(v) for v in levels]), F.col(rating)).otherwise(
+        F.raise_error(F.concat(F.lit("rating outside the levels: "),
+                               F.coalesce(F.col(rating).cast("string"), F.lit("null")))).cast("double"))
+    aggs = [F.count_if(F.col("_r") == F.lit(float(v))).alias(f"r{v}") for v in levels]
+    return df.select(item, r.alias("_r")).groupBy(item).agg(*aggs)
 
 
 def with_bucket_count(df: DataFrame, item: str = ITEM, rating: str = RATING,
                       out: str = "bucket_count") -> DataFrame:
     """Attach to each rating the number of ratings of the same item with the
     same value (J1)."""
-    counts = df.groupBy(item, rating).agg(F.count(F.lit(1)).alias(out))
+    counts = materialize(df.groupBy(item, rating).agg(F.count(F.lit(1)).alias(out)), "bucket-counts")
     return df.join(counts, [item, rating])
 
 
-def key_stats(df: DataFrame, key: str, value: str = RATING, prefix: str = "") -> DataFrame:
-    """``n``, ``s`` (sum), ``q`` (sum of squares) per key."""
-    v = F.col(value)
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"{prefix}n"),
-                               F.sum(v).alias(f"{prefix}s"),
-                               F.sum(v * v).alias(f"{prefix}q"))
-
-
-def ratings_per_user(df: DataFrame, user: str = USER, out: str = "n_ratings") -> DataFrame:
-    """Ratings-per-user size."""
-    return df.groupBy(user).agg(F.count(F.lit(1)).alias(out))
-
-
 def mean_centred(df: DataFrame, by: str, rating: str = RATING,
                  out: str = "centred", scale: float | None = None) -> DataFrame:
     """rating - mean(rating of the same ``by`` key) (P8 by user, P9 by item).
@@ -91,7 +85,8 @@ def mean_centred(df: DataFrame, by: str, rating: str = RATING,
     returned as a fixed-point long, ``round_half_up(dev * scale)``, whose
     sums are exact (used by adjusted cosine, D5).
     """
-    stats = df.groupBy(by).agg(F.sum(rating).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    stats = materialize(df.groupBy(by).agg(F.sum(rating).alias("_s"), F.count(F.lit(1)).alias("_n")),
+                        "key-means")
     dev = F.col(rating) - F.col("_s") / F.col("_n")
     j = df.join(stats, by)
     val = fixed_point(dev, scale) if scale else dev

@@ -3,7 +3,7 @@ G5, G6).
 
 Ratings are truncated to whole numbers first (the job's input form). Every
 rating carries ``bucket_count``: how many ratings of its item have the same
-value. The co-rating self-join on user (:func:`blocked_join`) gives one
+value. The co-rating self-join on user (:func:`self_pairs`) gives one
 record per user and item pair, aggregated per pair into count, sums, sums
 of squares, dot product and the largest bucket counts.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from corate import ITEM, RATING, USER
 from corate.functions.measures import bucket_jaccard, nonneg_zero, pearson_from_sums
 from corate.operators.clean import truncate_ratings, with_bucket_count
-from corate.operators.pairs import DEFAULT_BLOCK_ROWS, blocked_join
+from corate.operators.pairs import DEFAULT_BLOCK_ROWS, self_pairs
 from corate.session import materialize
 
 
@@ -36,16 +36,10 @@ def co_rating_pairs(ratings: DataFrame, user: str = USER, item: str = ITEM,
     # read by the hot-key counts and both join sides: computed and written once
     rc = materialize(with_bucket_count(r, item, rating, out="_c"), "pair-rated")
 
-    def side(p: str) -> DataFrame:
-        return rc.select(F.col(user), F.col(item).alias(f"item_{p}"),
-                         F.col(rating).alias(f"_r{p}"), F.col("_c").alias(f"_c{p}"))
-
-    j = blocked_join(side("a"), side("b"), user, "item_a", "item_b",
-                     block_rows=block_rows, same_keys=True)
-    return (j.where(F.col("item_a") < F.col("item_b"))
-            .select(F.col(user), "item_a", "item_b",
-                    F.col("_ra").alias("r1"), F.col("_ca").alias("c1"),
-                    F.col("_rb").alias("r2"), F.col("_cb").alias("c2")))
+    j = self_pairs(rc, user, item, [rating, "_c"], block_rows=block_rows)
+    return j.select(F.col(user), F.col(f"a_{item}").alias("item_a"), F.col(f"b_{item}").alias("item_b"),
+                    F.col(f"a_{rating}").alias("r1"), F.col("a__c").alias("c1"),
+                    F.col(f"b_{rating}").alias("r2"), F.col("b__c").alias("c2"))
 
 
 def pair_aggregates(pairs: DataFrame) -> DataFrame:

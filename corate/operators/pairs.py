@@ -5,105 +5,158 @@ user-user measures pair the raters of each item (join on item). A key with
 n rows on each side yields n^2 pairs; if one key holds a third of all rows,
 a plain shuffle join hands all of that to one task.
 
-:func:`blocked_join` splits such hot keys. A key with more than
-``block_rows`` rows on a side is cut into ``ceil(n / block_rows)`` blocks by
-a hash of a row id; each left block meets each right block in its own task
-(left rows are copied once per right block and vice versa), so no task
-produces more than ``block_rows^2`` pairs. Ordinary keys get a single block
-and join exactly as before. The table of hot keys is broadcast: it has at
-most ``rows / block_rows`` entries and is additionally capped at
-``max_hot_keys`` rows, so its size is bounded; a hot key beyond the cap is
-still joined correctly, only without the split (AQE's skew-join split then
-remains as a second line of defence). No row is dropped.
+A key with more than ``block_rows`` rows on a side is therefore cut into
+``ceil(n / block_rows)`` blocks by a hash of a row id, and each left block
+meets each right block under a join key of its own, so no join key yields
+more than about ``block_rows^2`` pairs. A self-join only joins block i with
+blocks j >= i. Every hot key is cut; there is no cap and no row is dropped.
+
+The table of hot keys and both sides are written first (in the shared
+checkpoint folder), so the row sides are joined with it as plain scans:
+Spark broadcasts the table if its files are small, and otherwise shuffles
+and may split hot keys there too. The number of join partitions follows
+from the pairs counted, not from the session's default.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corate.session import materialize
+
 DEFAULT_BLOCK_ROWS = 10_000
-DEFAULT_MAX_HOT_KEYS = 1_000_000
+PAIRS_PER_TASK = 20_000_000
 
 
-def hot_keys(df: DataFrame, key: str, block_rows: int, out: str,
-             max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
-    """``(key, blocks)`` for keys with more than ``block_rows`` rows.
+def _counts(df: DataFrame, key: str, out: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+
+
+def _partitions(df: DataFrame, pairs: float | None) -> int:
+    """Join partitions for so many pairs, at least the session's number."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil((pairs or 0) / PAIRS_PER_TASK))
+
+
+def _block(split: str, n: str) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(split)), F.col(n))
 
-    Beyond ``max_hot_keys`` the largest keys are kept, ties by key: the set
-    is deterministic, so every evaluation (both join sides, a task retried
-    after a lost executor) sees the same blocks per key.
-    """
-    n = F.count(F.lit(1))
-    return (df.groupBy(key).agg(n.alias("_n"))
-            .where(F.col("_n") > block_rows)
-            .orderBy(F.col("_n").desc(), F.col(key).asc())
-            .limit(max_hot_keys)
-            .select(key, F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(out)))
+
+def _to(lo, hi) -> F.Column:
+    return F.explode(F.sequence(lo, hi))
 
 
 def blocked_join(left: DataFrame, right: DataFrame, key: str, left_split: str,
-                 right_split: str, block_rows: int = DEFAULT_BLOCK_ROWS,
-                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                 same_keys: bool = False, num_partitions: int | None = None) -> DataFrame:
+                 right_split: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Inner join of ``left`` and ``right`` on ``key`` that stays balanced
     when a key is hot on one or both sides.
 
     ``left_split``/``right_split`` are row-identifying columns (e.g. the
     item of a rating) that decide a row's block. Columns other than ``key``
     must not clash between the sides. The result has one ``key`` column and
-    all other columns of both sides. ``same_keys=True`` states that both
-    sides have the same rows per key (a self-join with renamed columns), so
-    the key counts are computed once.
+    all other columns of both sides.
     """
-    lb = hot_keys(left, key, block_rows, "__nl", max_hot_keys)
-    if same_keys:
-        hot = lb.withColumn("__nr", F.col("__nl"))
-    else:
-        rb = hot_keys(right, key, block_rows, "__nr", max_hot_keys)
-        hot = lb.join(rb, key, "full")
-    hot = F.broadcast(hot.select(key, F.coalesce("__nl", F.lit(1)).alias("__nl"),
-                                 F.coalesce("__nr", F.lit(1)).alias("__nr")))
-
-    def side(df: DataFrame, own: str, other: str, split: str, own_name: str,
-             other_name: str) -> DataFrame:
-        j = df.join(hot, key, "left")
-        n_own = F.coalesce(F.col(own), F.lit(1))
-        n_other = F.coalesce(F.col(other), F.lit(1))
-        return (j.withColumn(own_name, F.pmod(F.xxhash64(F.col(split)), n_own.cast("bigint")))
-                .withColumn(other_name, F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                             (n_other - 1).cast("bigint"))))
-                .drop(own, other))
-
-    lside = side(left, "__nl", "__nr", left_split, "__bl", "__br")
-    rside = side(right, "__nr", "__nl", right_split, "__br", "__bl")
-    # The join's output (pairs) is far larger than its input, so AQE must not
-    # coalesce its partitions by input size: fix the count on both sides
-    # (same count and keys, so the join adds no exchange of its own).
-    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = materialize(left, "join-left"), materialize(right, "join-right")
+    counts = materialize(_counts(left, key, "__cl").join(_counts(right, key, "__cr"), key), "join-counts")
+    pairs = counts.agg(F.sum(F.col("__cl").cast("double") * F.col("__cr"))).first()[0]
+    blocks = lambda c: F.ceil(F.col(c) / block_rows).cast("bigint")
+    hot = materialize(counts.where(f"__cl > {block_rows} OR __cr > {block_rows}")
+                      .select(key, blocks("__cl").alias("__nl"), blocks("__cr").alias("__nr")), "hot-keys")
+    one = F.lit(1).cast("bigint")
+
+    def side(df: DataFrame, own: str, other: str, split: str, own_block: str, other_block: str) -> DataFrame:
+        return (df.join(hot, key, "left")
+                .withColumn(own, F.coalesce(own, one)).withColumn(other, F.coalesce(other, one))
+                .withColumn(own_block, _block(split, own))
+                .withColumn(other_block, _to(one - 1, F.col(other) - 1)).drop("__nl", "__nr"))
+
+    n = _partitions(left, pairs)
     keys = [key, "__bl", "__br"]
-    return (lside.repartition(n, *keys).join(rside.repartition(n, *keys), keys)
+    return (side(left, "__nl", "__nr", left_split, "__bl", "__br").repartition(n, *keys)
+            .join(side(right, "__nr", "__nl", right_split, "__br", "__bl").repartition(n, *keys), keys)
             .drop("__bl", "__br"))
 
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+def self_pairs(rows: DataFrame, key: str, split: str, values: list[str], a: str = "a_", b: str = "b_",
+               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Each unordered pair of ``rows`` (a written table) with the same
+    ``key``, once: ``key`` and, for the row with the smaller and the larger
+    ``split``, that column and ``values`` with the prefixes ``a`` and ``b``.
+    Rows of a key with equal ``split`` are not paired."""
+    counts = materialize(_counts(rows, key, "__n"), "join-counts")
+    pairs = counts.agg(F.sum(F.col("__n").cast("double") * F.col("__n") / 2)).first()[0]
+    hot = materialize(counts.where(F.col("__n") > block_rows)
+                      .select(key, F.ceil(F.col("__n") / block_rows).cast("bigint").alias("__nb")), "hot-keys")
+    cols = [split, *values]
+    own = (rows.select(key, *cols).join(hot, key, "left")
+           .withColumn("__nb", F.coalesce("__nb", F.lit(1).cast("bigint")))
+           .withColumn("__b", _block(split, "__nb")))
+    left = own.withColumn("__i", F.col("__b")).withColumn("__j", _to(F.col("__b"), F.col("__nb") - 1))
+    right = own.withColumn("__j", F.col("__b")).withColumn("__i", _to(F.lit(0).cast("bigint"), F.col("__b")))
+    n = _partitions(rows, pairs)
+    keys = [key, "__i", "__j"]
+    name = lambda df, p: df.select(*keys, *[F.col(c).alias(f"__{p}{c}") for c in cols]).repartition(n, *keys)
+    x, y = F.col(f"__x{split}"), F.col(f"__y{split}")
+    # within one block each pair meets twice: keep it in order; across two
+    # blocks it meets once, in any order, and is put in order
+    met = (name(left, "x").join(name(right, "y"), keys)
+           .where((x < y) | ((x > y) & (F.col("__i") < F.col("__j")))))
+    pick = lambda c, first, second: F.when(x < y, F.col(f"__{first}{c}")).otherwise(F.col(f"__{second}{c}"))
+    return met.select(key, *[pick(c, "x", "y").alias(f"{a}{c}") for c in cols],
+                      *[pick(c, "y", "x").alias(f"{b}{c}") for c in cols])
+
+
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of a table's values: 8 per number, the length of each string."""
+    text = [c for c, kind in df.dtypes if kind == "string"]
+    size = F.lit(8 * (len(df.columns) - len(text)))
+    for c in text:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
 
 
 def fanout_join(small: DataFrame, big: DataFrame, key: str, small_split: str,
-                big_split: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                big_split: str, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Join a side that is usually small (query users' ratings, neighbour
     lists of a batch, a history) with a large side.
 
     The small side is written once (it is typically the end of a longer
-    plan) and its rows are counted: at most ``max_broadcast_rows`` rows are
+    plan) and its bytes are measured: up to ``max_broadcast_bytes`` it is
     broadcast, so the large side streams through without a shuffle and a
     hot key costs nothing extra. Beyond that bound the join is a
     :func:`blocked_join`.
     """
-    from corate.session import materialize
-
     small = materialize(small, "join-side")
-    if small.count() <= max_broadcast_rows:
+    if table_bytes(small) <= max_broadcast_bytes:
         return big.join(F.broadcast(small), key)
     return blocked_join(small, big, key, small_split, big_split, block_rows=block_rows)
+
+
+def free_ranks(taken: DataFrame, owners: DataFrame, owner: str, k: int, total: int,
+               rank: str = "_r") -> DataFrame:
+    """The ``k`` smallest ranks of 0..total-1 that ``taken(owner, rank)``
+    does not hold, for each of ``owners``: ``(owner, rank)``.
+
+    The free ranks lie in the gaps between an owner's taken ranks; the gap
+    before the j-th taken rank r (from 1) begins after the one before and
+    has ``begin - (j - 1)`` free ranks below it. Only gaps that can hold one
+    of the first ``k`` are expanded: ``k`` rows per owner in all.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(owner).orderBy(rank)
+    rows = taken.select(owner, F.col(rank).cast("bigint").alias(rank)).unionByName(
+        owners.select(owner).distinct().withColumn(rank, F.lit(total).cast("bigint")))
+    begin = F.coalesce(F.lag(rank).over(w), F.lit(-1).cast("bigint")) + 1
+    gaps = (rows.withColumn("__lo", begin).withColumn("__j", F.row_number().over(w))
+            .withColumn("__room", F.least(F.col(rank) - F.col("__lo"),
+                                          F.lit(k) - (F.col("__lo") - (F.col("__j") - 1))))
+            .where("__room > 0"))
+    return gaps.select(owner, F.explode(F.sequence("__lo", F.col("__lo") + F.col("__room") - 1)).alias(rank))

@@ -4,7 +4,7 @@ G7, G8, W2, W3).
 The reference scores one query user at a time against every other user.
 Here all query users are scored in one job: the query users' ratings are
 joined on item with everyone's ratings (:func:`fanout_join`: broadcast
-when the query side is within a row bound, else hot items split), so only
+when the query side is within a byte bound, else hot items split), so only
 users sharing at least one item meet, and per (query,
 other) pair one aggregation yields
 
@@ -18,11 +18,11 @@ From those and per-user totals (n = ratings, S = sum |rating|):
 * agreement = agree / (n_q + n_v - common).
 
 Users sharing no item with the query still have an L1 distance
-(S_q + S_v) and can be nearest. They rank among themselves by S_v, so
-only the ``k + overlap + 1`` first users in (S_v, user) order can enter a
-list; :func:`_bounded_candidates` fetches exactly those by an equi-join on
-a dense rank. The agreement of such users is 0; they are added only with
-``fill=True`` (lowest user ids first).
+(S_q + S_v) and can be nearest. They rank among themselves by S_v, so only
+the first k of them in (S_v, user) order can enter a list;
+:func:`_free_users` finds exactly those in the gaps between the ranks of the
+users that do overlap. The agreement of such users is 0 and they compete by
+the lowest user id; ``fill=False`` leaves them out.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from corate import ITEM, RATING, USER
 from corate.functions.measures import agreement, l1_from_overlap
 from corate.operators.indexing import dense_index
-from corate.operators.pairs import DEFAULT_BLOCK_ROWS, DEFAULT_BROADCAST_ROWS, fanout_join
+from corate.operators.pairs import DEFAULT_BLOCK_ROWS, DEFAULT_BROADCAST_BYTES, fanout_join, free_ranks
 from corate.operators.topk import top_k
+from corate.session import materialize
 
 QUERY = "query_user"
 MAX_RATING = 5.0  # top of the rating scale (fixed by the reference)
@@ -54,13 +55,13 @@ def user_vectors(ratings: DataFrame, query_users: DataFrame, user: str = USER) -
 def user_overlap(ratings: DataFrame, query_users: DataFrame, user: str = USER,
                  item: str = ITEM, rating: str = RATING,
                  block_rows: int = DEFAULT_BLOCK_ROWS,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``query_user, user_id, common, gain, agree`` for every other user
     sharing at least one item with a query user (self excluded, P4)."""
     q = user_vectors(ratings, query_users, user).select(
         F.col(user).alias(QUERY), F.col(item), F.col(rating).alias("_a"))
     o = ratings.select(F.col(user), F.col(item), F.col(rating).alias("_b"))
-    j = fanout_join(q, o, item, QUERY, user, max_broadcast_rows, block_rows)
+    j = fanout_join(q, o, item, QUERY, user, max_broadcast_bytes, block_rows)
     j = j.where(F.col(QUERY) != F.col(user))
     a, b = F.col("_a"), F.col("_b")
     d = F.abs(a - b)
@@ -70,24 +71,17 @@ def user_overlap(ratings: DataFrame, query_users: DataFrame, user: str = USER,
         F.sum(F.lit(MAX_RATING) - d).alias("agree"))
 
 
-def _bounded_candidates(overlap: DataFrame, query_users: DataFrame, ranked: DataFrame,
-                        k: int, user: str) -> DataFrame:
-    """Non-overlapping users that can enter a top-k list.
-
-    ``ranked`` numbers all users 0.. in the order non-overlapping users
-    compete in. Of the first ``k + ov + 1`` of them (ov = users overlapping
-    the query), at most ``ov + 1`` are overlapping or the query itself, so
-    at least k remain: all that a list of k can take.
-    """
-    ov = overlap.groupBy(QUERY).agg(F.count(F.lit(1)).alias("_ov"))
-    need = (query_users.select(F.col(user).alias(QUERY)).distinct()
-            .join(ov, QUERY, "left")
-            .select(QUERY, F.coalesce("_ov", F.lit(0)).alias("_ov")))
-    cand = (need.select(QUERY, F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                    (F.col("_ov") + k).cast("bigint"))).alias("_r"))
-            .join(ranked, "_r")
-            .where(F.col(QUERY) != F.col(user)))
-    return cand.join(overlap.select(QUERY, user), [QUERY, user], "left_anti")
+def _free_users(overlap: DataFrame, query_users: DataFrame, ranked: DataFrame,
+                k: int, user: str) -> DataFrame:
+    """``(query_user, user)``: for each query user the first k other users,
+    in the order of ``ranked`` (all users numbered from 0), that share no
+    item with it."""
+    ranked = materialize(ranked, "user-ranks")
+    queries = query_users.select(F.col(user).alias(QUERY)).distinct()
+    taken = (overlap.select(QUERY, user).join(ranked, user).select(QUERY, "_r")
+             .unionByName(queries.join(ranked.withColumnRenamed(user, QUERY), QUERY).select(QUERY, "_r")))
+    return (free_ranks(taken, queries, QUERY, k, ranked.count())
+            .join(ranked, "_r").select(QUERY, user))
 
 
 def l1_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100, user: str = USER,
@@ -95,8 +89,9 @@ def l1_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100, user: str =
            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """k nearest users by L1 distance (G7, W2): ``query_user, user_id,
     distance, rank``; order distance asc, user id asc."""
-    tot = user_totals(ratings, user, rating)
-    ov = user_overlap(ratings, query_users, user, item, rating, block_rows)
+    tot = materialize(user_totals(ratings, user, rating), "user-totals")
+    query_users = query_users.join(tot, user, "left_semi")  # users without ratings have no list
+    ov = materialize(user_overlap(ratings, query_users, user, item, rating, block_rows), "user-overlap")
     qt = tot.select(F.col(user).alias(QUERY), F.col("s_abs").alias("_sq"))
     vt = tot.select(user, F.col("s_abs").alias("_sv"))
     scored = (ov.join(qt, QUERY).join(vt, user)
@@ -104,7 +99,7 @@ def l1_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100, user: str =
                       .alias("distance")))
     ranked = dense_index(tot, [user, "s_abs"], order=[F.col("s_abs").asc(), F.col(user).asc()],
                          id_col="_r").select("_r", user)
-    fill = (_bounded_candidates(ov, query_users, ranked, k, user)
+    fill = (_free_users(ov, query_users, ranked, k, user)
             .join(qt, QUERY).join(vt, user)
             .select(QUERY, user, l1_from_overlap(F.col("_sq"), F.col("_sv"), F.lit(0.0))
                     .alias("distance")))
@@ -113,12 +108,15 @@ def l1_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100, user: str =
 
 
 def agreement_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100,
-                  fill: bool = False, user: str = USER, item: str = ITEM,
+                  fill: bool = True, user: str = USER, item: str = ITEM,
                   rating: str = RATING, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """k most similar users by rating agreement (G8, W3): ``query_user,
-    user_id, similarity, rank``; order similarity desc, user id asc."""
-    tot = user_totals(ratings, user, rating)
-    ov = user_overlap(ratings, query_users, user, item, rating, block_rows)
+    user_id, similarity, rank``; order similarity desc, user id asc. Users
+    sharing no item score 0 and fill up short lists, as all users are scored
+    in the reference; ``fill=False`` lists overlapping users only."""
+    tot = materialize(user_totals(ratings, user, rating), "user-totals")
+    query_users = query_users.join(tot, user, "left_semi")  # users without ratings have no list
+    ov = materialize(user_overlap(ratings, query_users, user, item, rating, block_rows), "user-overlap")
     qt = tot.select(F.col(user).alias(QUERY), F.col("n").alias("_nq"))
     vt = tot.select(user, F.col("n").alias("_nv"))
     scored = (ov.join(qt, QUERY).join(vt, user)
@@ -126,7 +124,7 @@ def agreement_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100,
                                              F.col("common")).alias("similarity")))
     if fill:
         ranked = dense_index(tot, user, id_col="_r").select("_r", user)
-        zero = (_bounded_candidates(ov, query_users, ranked, k, user)
+        zero = (_free_users(ov, query_users, ranked, k, user)
                 .select(QUERY, user, F.lit(0.0).alias("similarity")))
         scored = scored.unionByName(zero)
     return top_k(scored, QUERY, [F.col("similarity").desc(), F.col(user).asc()], k)

@@ -29,10 +29,12 @@ from corate.operators.user_knn import QUERY, agreement_knn, l1_knn, user_vectors
 from corate.sinks.text import index_lines, recommendation_lines, triple_lines
 from corate.sources.json import parse_reviews
 from corate.sources.tables import (
-    event_ratings, load_table, named_order_ratings, order_ratings, raw_order_triples,
+    basket_ratings, event_ratings, load_table, named_order_ratings, order_ratings, raw_order_triples,
 )
-from corate.session import materialize
-from corate.sources.text import parse_triples
+from corate.session import materialize, scratch_path
+from corate.sinks.text import write_lines, write_parquet
+from corate.sources.text import (parse_index, parse_recommendation_lines, parse_triples, read_neighbours,
+                                 read_recommendation_lines, read_triples, triple_line_counts)
 
 # Fixed values of the reference jobs.
 K_ITEM = 100          # neighbours kept per item
@@ -42,6 +44,7 @@ N_VOTE_EVAL = 10      # recommendations per user, user-kNN evaluation
 N_PREDICT = 10        # predicted items per user, item-based evaluation
 N_ACTIVE = 25         # most active users held out / queried
 N_HOLDOUT = 10        # held-out ratings per test user
+N_SMALL = 25          # baskets with the fewest items that are queried
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -133,12 +136,13 @@ def _adjusted_sims(src: str) -> str:
   SELECT user_id, sum(rating) AS s, count(*) AS n FROM {src} GROUP BY user_id),
 dev AS (
   SELECT r.user_id, r.item_id,
-         CAST(CAST(floor((r.rating - um.s / um.n) * 1000000.0 + 0.5) AS BIGINT) AS DOUBLE) AS v
+         CAST(floor((r.rating - um.s / um.n) * 1000000.0 + 0.5) AS BIGINT) AS v
   FROM {src} r JOIN um ON um.user_id = r.user_id),
 st AS (
-  SELECT item_id, sum(v * v) AS q FROM dev GROUP BY item_id HAVING sum(v * v) > 0),
+  SELECT item_id, CAST(sum(CAST(v AS HUGEINT) * v) AS DOUBLE) AS q
+  FROM dev GROUP BY item_id HAVING sum(CAST(v AS HUGEINT) * v) > 0),
 co AS (
-  SELECT a.item_id AS item_a, b.item_id AS item_b, sum(a.v * b.v) AS dot
+  SELECT a.item_id AS item_a, b.item_id AS item_b, CAST(sum(CAST(a.v AS HUGEINT) * b.v) AS DOUBLE) AS dot
   FROM dev a JOIN dev b ON a.user_id = b.user_id AND a.item_id < b.item_id
   GROUP BY a.item_id, b.item_id),
 sims AS (
@@ -153,7 +157,7 @@ def _pearson_sims(src: str) -> str:
     return f"""st AS (
   SELECT item_id, CAST(count(*) AS DOUBLE) AS n, sum(rating) AS s, sum(rating * rating) AS q
   FROM {src} GROUP BY item_id
-  HAVING CAST(count(*) AS DOUBLE) * sum(rating * rating) - sum(rating) * sum(rating) > 0),
+  HAVING max(rating) > min(rating)),
 co AS (
   SELECT a.item_id AS item_a, b.item_id AS item_b, CAST(count(*) AS DOUBLE) AS c,
          sum(a.rating * b.rating) AS dot, sum(a.rating) AS sa, sum(b.rating) AS sb
@@ -228,13 +232,15 @@ def _overlap(src: str, queries: str) -> str:
 
 
 def _agreement_knn(src: str, queries: str, k: int = K_USER) -> str:
+    """Every query user against every other user, sharing items or not."""
     return _overlap(src, queries) + f""",
 tot AS (SELECT user_id, count(*) AS n FROM {src} GROUP BY user_id),
 scored AS (
-  SELECT ov.query_user, ov.user_id,
-         CASE WHEN CAST(qt.n + ot.n - ov.common AS DOUBLE) = 0 THEN 1.0
-              ELSE ov.agree / CAST(qt.n + ot.n - ov.common AS DOUBLE) + 0.0 END AS similarity
-  FROM ov JOIN tot qt ON qt.user_id = ov.query_user JOIN tot ot ON ot.user_id = ov.user_id),
+  SELECT qt.user_id AS query_user, ot.user_id,
+         coalesce(ov.agree, 0.0) / CAST(qt.n + ot.n - coalesce(ov.common, 0) AS DOUBLE) + 0.0 AS similarity
+  FROM tot qt JOIN {queries} a ON a.user_id = qt.user_id
+  JOIN tot ot ON ot.user_id <> qt.user_id
+  LEFT JOIN ov ON ov.query_user = qt.user_id AND ov.user_id = ot.user_id),
 knn AS (
   SELECT query_user, user_id, similarity, rank FROM (
     SELECT query_user, user_id, similarity,
@@ -517,17 +523,21 @@ def q_knn_vote_recommend(spark: SparkSession, sf: str) -> DataFrame:
 {_agreement_knn('ratings', 'active')},
 {_votes('ratings', N_VOTE)}
 SELECT c_name AS key,
-       c_name || ': ' || string_agg('P' || CAST(item_id AS VARCHAR) || ' ', '' ORDER BY rank) AS value
-FROM votes JOIN customer ON c_custkey = query_user
+       c_name || ': ' || coalesce(string_agg('P' || CAST(item_id AS VARCHAR) || ' ', '' ORDER BY rank), '') AS value
+FROM active JOIN customer ON c_custkey = user_id LEFT JOIN votes ON query_user = user_id
 GROUP BY c_name""")
 def q_recommendation_lines(spark: SparkSession, sf: str) -> DataFrame:
     r = _ratings(spark, sf)
-    votes = vote_recommend(agreement_knn(r, _active(r), K_USER), r, N_VOTE)
+    return _recommendation_lines(spark, sf, r, _active(r), r, N_VOTE)
+
+
+def _recommendation_lines(spark, sf, ratings, users, train, n) -> DataFrame:
+    votes = vote_recommend(agreement_knn(train, users, K_USER), train, n)
     cust = load_table(spark, sf, "customer").select(F.col("c_name").alias("key"),
                                                     F.col("c_custkey").alias("id"))
     named = (indexing.decode(votes.withColumnRenamed(QUERY, USER), cust, USER, "key")
              .withColumn("item_key", F.concat(F.lit("P"), F.col(ITEM).cast("string"))))
-    return recommendation_lines(named)
+    return recommendation_lines(named, users=indexing.decode(users, cust, USER, "key"))
 
 
 # --------------------------------------------------------------------------
@@ -630,3 +640,120 @@ def q_eval_jaccard_knn(spark: SparkSession, sf: str) -> DataFrame:
     rec = votes.select(F.col(QUERY).alias(USER), ITEM)
     per = evaluate.jaccard_per_user(rec, test)
     return evaluate.mean_metric(per, "jaccard", test, out="mean_jaccard")
+
+
+# --------------------------------------------------------------------------
+# sparse ratings: user = order, item = part, so that lists need zero rows
+
+BASKETS = """ratings AS (
+  SELECT l_orderkey AS user_id, l_partkey AS item_id,
+         max(CAST((CAST(l_quantity AS INTEGER) - 1) % 5 + 1 AS DOUBLE)) AS rating
+  FROM lineitem GROUP BY l_orderkey, l_partkey)"""
+SMALLEST = f"""active AS (
+  SELECT user_id FROM ratings GROUP BY user_id ORDER BY count(*), user_id LIMIT {N_SMALL})"""
+
+
+def _baskets(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(basket_ratings(spark, sf), "baskets")
+
+
+@register("basket_item_cosine_topk", f"""WITH {BASKETS},
+{_cosine_sims('ratings')},
+{_neighbours()}
+SELECT item_id, neighbour_id, sim, rank FROM nb""")
+def q_basket_item_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return item_neighbours(_baskets(spark, sf), "cosine", k=K_ITEM, fill=True)
+
+
+@register("basket_agreement_knn", f"""WITH {BASKETS}, {SMALLEST},
+{_agreement_knn('ratings', 'active')}
+SELECT query_user, user_id, similarity, rank FROM knn""")
+def q_basket_agreement_knn(spark: SparkSession, sf: str) -> DataFrame:
+    r = _baskets(spark, sf)
+    small = r.groupBy(USER).agg(F.count(F.lit(1)).alias("n")).orderBy("n", USER).limit(N_SMALL)
+    return agreement_knn(r, materialize(small.select(USER), "smallest-baskets"), K_USER)
+
+
+# --------------------------------------------------------------------------
+# readers and stores
+
+@register("distinct_triples", """SELECT DISTINCT o_custkey AS user_id, l_partkey AS item_id,
+       CAST((CAST(l_quantity AS INTEGER) - 1) % 5 + 1 AS DOUBLE) AS rating
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def q_distinct_triples(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.distinct_triples(raw_order_triples(spark, sf))
+
+
+@register("triples_whitespace_parse", f"""WITH {RATINGS} SELECT user_id, item_id, rating FROM ratings""")
+def q_triples_whitespace_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Uneven white space, a fractional part to cut off, a fourth field."""
+    r = order_ratings(spark, sf)
+    lines = r.select(F.format_string(" %d\t%d   %.2f  more", USER, ITEM, F.col(RATING) + 0.75).alias("value"))
+    return parse_triples(lines, mode="whitespace", truncate=True)
+
+
+@register("triple_line_counts", f"""WITH {RATINGS}
+SELECT count(*) AS n_lines, count(*) FILTER (rating IN (1, 2)) AS n_parsed,
+       count(*) FILTER (rating = 3) AS n_bad_fields, count(*) FILTER (rating IN (4, 5)) AS n_bad_numbers
+FROM ratings""")
+def q_triple_line_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines spoilt by rating: 3 has a double space, 4 is NaN, 5 no number."""
+    r = order_ratings(spark, sf)
+    line = lambda fmt: F.format_string(fmt, USER, ITEM)
+    lines = r.select(F.when(F.col(RATING) == 3, line("%d  %d 3.0")).when(F.col(RATING) == 4, line("%d %d NaN"))
+                     .when(F.col(RATING) == 5, line("%d %d five")).otherwise(line("%d %d 1.5")).alias("value"))
+    return triple_line_counts(lines)
+
+
+@register("encode_with_index_lines", f"""WITH {RATINGS}
+SELECT c_custkey AS user_id, item_id, rating FROM ratings JOIN customer ON user_id = c_custkey
+WHERE c_acctbal >= 0""")
+def q_encode_with_index_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings by name, encoded through index lines that name some keys twice
+    (the last line wins) and lack the customers in debt (dropped)."""
+    cust = load_table(spark, sf, "customer").where("c_acctbal >= 0")
+    wrong = cust.select(F.format_string("%s %d", "c_name", F.lit(-1)).alias("value"))
+    right = cust.select(F.format_string("%s %d", "c_name", "c_custkey").alias("value"))
+    index = materialize(parse_index(wrong.unionByName(right)), "index")
+    return indexing.encode(
+        named_order_ratings(spark, sf).withColumn(ITEM, F.substring("asin", 2, 20).cast("bigint")),
+        index, "reviewerID", USER).select(USER, ITEM, F.col("overall").alias(RATING))
+
+
+@register("recommendation_lines_parse", f"""WITH {RATINGS}, {ACTIVE},
+{_agreement_knn('ratings', 'active')},
+{_votes('ratings', N_VOTE)}
+SELECT c_name AS key, 'P' || CAST(item_id AS VARCHAR) AS item_key, rank
+FROM votes JOIN customer ON c_custkey = query_user""")
+def q_recommendation_lines_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_recommendation_lines(q_recommendation_lines(spark, sf))
+
+
+@register("stored_neighbours_predict", f"""{PREDICT}
+SELECT user_id, item_id, prediction, rank FROM top""")
+def q_stored_neighbours_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists of all items, written and read back, as the reference does."""
+    r = _ratings(spark, sf)
+    _, train = _split(r)
+    path = scratch_path(spark, "neighbours")
+    write_parquet(item_neighbours(train, "cosine", k=K_ITEM, fill=True), path)
+    return item_based_recommend(train.join(_active(r), USER, "left_semi"), read_neighbours(spark, path), N_PREDICT)
+
+
+@register("eval_jaccard_knn_files", f"""WITH {RATINGS}, {SPLIT},
+{_agreement_knn('train', 'active')},
+{_votes('train', N_VOTE_EVAL)},
+rec AS (SELECT query_user AS user_id, item_id FROM votes),
+{_jaccard_sql('rec')}""")
+def q_eval_jaccard_knn_files(spark: SparkSession, sf: str) -> DataFrame:
+    """C8 from its files: held-out triples and recommendation lines as text."""
+    r = _ratings(spark, sf)
+    test, train = _split(r)
+    held, lines = scratch_path(spark, "holdout"), scratch_path(spark, "recommendations")
+    write_lines(triple_lines(test), held)
+    write_lines(_recommendation_lines(spark, sf, r, _active(r), train, N_VOTE_EVAL), lines)
+    cust = load_table(spark, sf, "customer").select(F.col("c_name").alias("key"), F.col("c_custkey").alias("id"))
+    rec = indexing.encode(read_recommendation_lines(spark, lines), cust, "key", USER)
+    rec = rec.select(USER, F.substring("item_key", 2, 20).cast("bigint").alias(ITEM))
+    test = read_triples(spark, held, mode="whitespace")
+    return evaluate.mean_metric(evaluate.jaccard_per_user(rec, test), "jaccard", test, out="mean_jaccard")

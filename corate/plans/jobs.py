@@ -24,22 +24,25 @@ from corate.operators.pair_similarity import pair_similarity
 from corate.operators.recommend import item_based_recommend, vote_recommend
 from corate.operators.split import active_users, holdout, holdout_users
 from corate.operators.user_knn import QUERY, agreement_knn, l1_knn
-from corate.session import DEFAULT_CONF, ensure_checkpoint_dir, materialize
+from corate.functions.parsing import finite
+from corate.session import DEFAULT_CONF, discard_run, ensure_checkpoint_dir, materialize
 from corate.sinks.text import index_lines, recommendation_lines, triple_lines, write_lines, \
     write_parquet
 from corate.sources.json import read_reviews
-from corate.sources.text import (read_index, read_recommendation_lines, read_triples,
-                                 read_user_list)
+from corate.sources.text import (read_index, read_neighbours, read_recommendation_lines,
+                                 read_triples, read_user_list)
 
 
 def load_ratings(spark: SparkSession, path: str, fmt: str = "auto",
                  mode: str = "whitespace") -> DataFrame:
-    """Ratings from Parquet or triple text; one row per (user, item)."""
+    """Ratings from Parquet or triple text, finite ones, one row per (user,
+    item); written once, since every job reads them several times."""
     if fmt == "parquet" or (fmt == "auto" and path.rstrip("/").endswith(".parquet")):
-        df = spark.read.parquet(path).select(USER, ITEM, F.col(RATING).cast("double"))
+        df = spark.read.parquet(path).select(USER, ITEM, finite(F.col(RATING).cast("double")).alias(RATING))
+        df = df.dropna()
     else:
         df = read_triples(spark, path, mode=mode)
-    return dedup_ratings(df)
+    return materialize(dedup_ratings(df), "ratings")
 
 
 def etl(spark, a):
@@ -49,7 +52,7 @@ def etl(spark, a):
     ui = indexing.build_index(reviews, "reviewerID")
     ii = indexing.build_index(reviews, "asin")
     enc = indexing.encode(indexing.encode(reviews, ui, "reviewerID", USER), ii, "asin", ITEM)
-    enc = enc.select(USER, ITEM, F.col("overall").alias(RATING))
+    enc = materialize(enc.select(USER, ITEM, F.col("overall").alias(RATING)), "encoded")
     write_lines(index_lines(ui), f"{a.output}/user_index")
     write_lines(index_lines(ii), f"{a.output}/item_index")
     write_lines(triple_lines(enc), f"{a.output}/triples")
@@ -73,11 +76,11 @@ def recommend_knn(spark, a):
     ui, ii = read_index(spark, a.user_index), read_index(spark, a.item_index)
     names = read_user_list(spark, a.users)
     q = indexing.encode(names.withColumnRenamed("key", "name"), ui, "name", USER, index_key="key")
-    knn = (l1_knn(r, q, a.k) if a.measure == "l1" else agreement_knn(r, q, a.k, fill=a.fill))
+    knn = (l1_knn(r, q, a.k) if a.measure == "l1" else agreement_knn(r, q, a.k, fill=not a.sparse))
     votes = vote_recommend(knn, r, a.n)
     named = indexing.decode(votes.withColumnRenamed(QUERY, USER), ui, USER, "key")
     named = indexing.decode(named, ii, ITEM, "item_key")
-    write_lines(recommendation_lines(named), a.output)
+    write_lines(recommendation_lines(named, users=names), a.output)
 
 
 def holdout_job(spark, a):
@@ -97,9 +100,12 @@ def evaluate_item(spark, a):
     """Item-based top-n on train, scored against the held-out set."""
     r = load_ratings(spark, a.input, a.format)
     test_users = active_users(r, a.users).select(USER)
-    test, train = holdout(r, test_users, a.k)
+    test, train = (materialize(x, "split") for x in holdout(r, test_users, a.k))
     history = train.join(test_users, USER, "left_semi")
-    nb = item_neighbours(train, a.measure, k=a.neighbours, fill=not a.sparse, items=history)
+    if a.stored:  # lists written by item-neighbours, as the reference reads them
+        nb = read_neighbours(spark, a.stored)
+    else:
+        nb = item_neighbours(train, a.measure, k=a.neighbours, fill=not a.sparse, items=history)
     top = item_based_recommend(history, nb, a.n)
     per = (evaluate.euclidean_per_user(top, test) if a.metric == "euclidean"
            else evaluate.jaccard_per_user(top, test))
@@ -142,7 +148,7 @@ def main(argv=None) -> None:
         (["item_index"], {}), (["output"], {}),
         (["--measure"], {"default": "agreement", "choices": ["agreement", "l1"]}),
         (["--k"], {"type": int, "default": 100}), (["--n"], {"type": int, "default": 5}),
-        (["--fill"], {"action": "store_true"}))
+        (["--sparse"], {"action": "store_true", "help": "only users sharing an item"}))
     job("holdout", holdout_job, *io, (["--users"], {"type": int, "default": 25}),
         (["--k"], {"type": int, "default": 10}), (["--user-index"], {"default": None}))
     job("evaluate-item", evaluate_item, (["input"], {}),
@@ -150,6 +156,7 @@ def main(argv=None) -> None:
         (["--measure"], {"default": "cosine", "choices": MEASURES}),
         (["--users"], {"type": int, "default": 10}), (["--k"], {"type": int, "default": 10}),
         (["--n"], {"type": int, "default": 10}), (["--neighbours"], {"type": int, "default": 100}),
+        (["--stored"], {"default": None, "help": "Parquet neighbour lists to use instead"}),
         (["--sparse"], {"action": "store_true"}))
     job("evaluate-knn", evaluate_knn, (["test"], {}), (["recommendations"], {}),
         (["user_index"], {}), (["item_index"], {}))
@@ -159,7 +166,10 @@ def main(argv=None) -> None:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    a.fn(spark, a)
+    try:
+        a.fn(spark, a)
+    finally:
+        discard_run(spark)
 
 
 if __name__ == "__main__":

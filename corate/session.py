@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,7 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a fresh local folder is made.
+    as is; without it this raises, since executors could not see each
+    other's files. Only in local mode (tests) a fresh local folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,23 +59,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="corate-ckpt-")
     sc.setCheckpointDir(local)
     return local
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, in the checkpoint
+    directory."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/corate-run-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the run's folder."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df, label: str):
-    """Write ``df`` as Parquet under the checkpoint directory and read it back.
+    """Write ``df`` as Parquet under the run's folder and read it back.
 
     Cuts the lineage of an intermediate that several later steps scan (it
     is computed once, and a lost executor re-reads files instead of
-    recomputing the whole upstream plan). The folder is the shared
+    recomputing the whole upstream plan). The folder is in the shared
     ``spark.checkpoint.dir``, never a machine-local one on a cluster.
+    :func:`discard_run` removes it when a job is done.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/corate-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def discard_run(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -21,14 +21,18 @@ def triple_lines(ratings: DataFrame, user: str = USER, item: str = ITEM,
 
 
 def recommendation_lines(recs: DataFrame, key: str = "key", item_key: str = "item_key",
-                         rank: str = "rank") -> DataFrame:
+                         rank: str = "rank", users: DataFrame | None = None) -> DataFrame:
     """``"name: item item ... "`` per user, best first (K5).
 
     The per-user list is a top-n result, so collecting it per key is
-    bounded by n.
+    bounded by n. With ``users`` (a column ``key``) every one of them gets a
+    line, ``"name: "`` if it has no recommendation.
     """
     grouped = recs.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(F.col(rank), F.col(item_key)))).alias("_l"))
+    if users is not None:
+        grouped = users.select(key).distinct().join(grouped, key, "left")
+        grouped = grouped.withColumn("_l", F.coalesce("_l", F.array().cast(grouped.schema["_l"].dataType)))
     items = F.transform(F.col("_l"), lambda s: F.concat(s.getField(item_key), F.lit(" ")))
     return grouped.select(key, F.concat(F.col(key), F.lit(": "),
                                         F.array_join(items, "")).alias("value"))
@@ -39,10 +43,6 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.select("value").write.mode(mode).text(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Columnar store for every intermediate table (K3, K4, K6, K7)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode(mode).parquet(path)

@@ -39,6 +39,13 @@ def order_ratings(spark: SparkSession, sf_dir: str, policy: str = "max") -> Data
     return dedup_ratings(raw_order_triples(spark, sf_dir), policy=policy)
 
 
+def basket_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse ratings: user = order, item = part, the largest per pair."""
+    li = load_table(spark, sf_dir, "lineitem")
+    return dedup_ratings(li.select(F.col("l_orderkey").alias(USER), F.col("l_partkey").alias(ITEM),
+                                   quantity_rating(F.col("l_quantity")).alias(RATING)))
+
+
 def named_order_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings keyed by external names: ``(reviewerID, asin, overall)``.
 

@@ -10,8 +10,9 @@ Formats (all one record per line):
 Two split rules exist for triples: ``strict`` keeps only lines that split on
 single spaces into exactly three fields (lines with a double space or a
 trailing space are dropped); ``whitespace`` splits on runs of whitespace and
-ignores fields past the third. Rows whose numbers do not parse are dropped
-(``try_cast`` -> NULL -> filtered) instead of failing the job.
+ignores fields past the third. Rows whose numbers do not parse or aren't finite are dropped
+(``try_cast`` -> NULL -> filtered) instead of failing the job;
+:func:`triple_line_counts` counts them.
 """
 
 from __future__ import annotations
@@ -52,6 +53,18 @@ def parse_triples(lines: DataFrame, mode: str = "strict", line_col: str = "value
                      & F.col(rating).isNotNull())
 
 
+def triple_line_counts(lines: DataFrame, mode: str = "strict", line_col: str = "value") -> DataFrame:
+    """One row: ``n_lines``, ``n_parsed``, ``n_bad_fields`` (wrong number of
+    fields), ``n_bad_numbers`` (an id or rating that is no finite number)."""
+    parts = fields_single_space(F.col(line_col)) if mode == "strict" else fields_any_space(F.col(line_col))
+    arity = F.size(parts) == 3 if mode == "strict" else F.size(parts) >= 3
+    good = (to_long(F.get(parts, F.lit(0))).isNotNull() & to_long(F.get(parts, F.lit(1))).isNotNull()
+            & to_double(F.get(parts, F.lit(2))).isNotNull())
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(arity & good).alias("n_parsed"),
+                     F.count_if(F.coalesce(~arity, F.lit(True))).alias("n_bad_fields"),
+                     F.count_if(arity & ~good).alias("n_bad_numbers"))
+
+
 def read_triples(spark: SparkSession, path: str, mode: str = "strict",
                  **kw) -> DataFrame:
     """Read a triple file or folder of files."""
@@ -63,12 +76,14 @@ def parse_index(lines: DataFrame, line_col: str = "value",
     """``key id`` lines -> ``(key string, id long)``; other arities dropped.
 
     Keys stay strings (a key may have leading zeros). Direction (key->id or
-    id->key) is just the join column chosen by the caller.
+    id->key) is just the join column chosen by the caller. If a key occurs
+    again, its last line wins (lines in the order they are read).
     """
     parts = fields_single_space(F.col(line_col))
-    out = lines.where(F.size(parts) == 2).select(
-        parts.getItem(0).alias(key), to_long(parts.getItem(1)).alias(id_col))
-    return out.where(F.col(id_col).isNotNull() & (F.col(key) != ""))
+    out = (lines.withColumn("_line", F.monotonically_increasing_id()).where(F.size(parts) == 2)
+           .select(parts.getItem(0).alias(key), to_long(parts.getItem(1)).alias(id_col), "_line"))
+    return (out.where(F.col(id_col).isNotNull() & (F.col(key) != ""))
+            .groupBy(key).agg(F.max_by(id_col, "_line").alias(id_col)))
 
 
 def read_index(spark: SparkSession, path: str, **kw) -> DataFrame:

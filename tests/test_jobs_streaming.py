@@ -28,6 +28,22 @@ def test_etl_then_item_neighbours_and_knn(spark, tmp_path):
     assert all(ln.endswith(" ") and len(ln.split()) == 3 for ln in lines)
 
 
+def test_jobs_read_their_text_once_and_leave_no_intermediate_files(spark, tmp_path):
+    import os
+
+    from corate.session import run_dir
+
+    rows = "\n".join(f"{u} {i} {1 + (u * i) % 5}" for u in range(12) for i in range(10) if (u + i) % 3) + "\n1 2 NaN\n"
+    (tmp_path / "t.txt").write_text(rows)
+    jobs.main(["item-neighbours", str(tmp_path / "t.txt"), str(tmp_path / "nb"), "--measure", "pearson", "--k", "3"])
+    jobs.main(["evaluate-item", str(tmp_path / "t.txt"), "--users", "3", "--k", "2", "--n", "4",
+               "--stored", str(tmp_path / "nb")])
+    assert not os.path.exists(run_dir(spark).removeprefix("file:"))
+    r = jobs.load_ratings(spark, str(tmp_path / "t.txt"))
+    assert "parquet" in r._jdf.queryExecution().executedPlan().toString()
+    assert r.where("isnan(rating)").count() == 0
+
+
 def test_streaming_ingest_appends_parsed_triples(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()

@@ -10,10 +10,11 @@ from conftest import SPARSE, ratings_df
 from corate.operators import clean, evaluate, indexing
 from corate.operators.item_similarity import item_neighbours, item_similarity
 from corate.operators.pair_similarity import pair_similarity
-from corate.operators.pairs import blocked_join
+from corate.operators.pairs import blocked_join, free_ranks, self_pairs
 from corate.operators.recommend import item_based_recommend, predict_ratings, vote_recommend
 from corate.operators.split import active_users, holdout
 from corate.operators.user_knn import agreement_knn, l1_knn
+from corate.session import materialize
 
 
 def random_triples(seed, users=30, items=25, per_user=(1, 12), hot_user=True):
@@ -32,7 +33,7 @@ def test_blocked_join_splits_hot_keys_without_changing_result(spark):
     a = r.select("user_id", F.col("item_id").alias("ia"), F.col("rating").alias("ra"))
     b = r.select("user_id", F.col("item_id").alias("ib"), F.col("rating").alias("rb"))
     plain = sorted(tuple(x) for x in a.join(b, "user_id").collect())
-    split = blocked_join(a, b, "user_id", "ia", "ib", block_rows=3, same_keys=True)
+    split = blocked_join(a, b, "user_id", "ia", "ib", block_rows=3)
     assert sorted(tuple(x) for x in split.select(*a.columns, "ib", "rb").collect()) == plain
     # two different sides, both hot on the same key
     split2 = blocked_join(a, b.where("ib > 105"), "user_id", "ia", "ib", block_rows=2)
@@ -105,7 +106,7 @@ def test_agreement_knn_and_votes(spark):
         got.setdefault(x["query_user"], []).append((x["rank"], x["user_id"], round(x["similarity"], 9)))
     for u in range(3):
         cand = sorted(((-round(brute.agreement(rows[u], rows[v]), 9), v) for v in rows
-                       if v != u and set(rows[u]) & set(rows[v])))[:5]
+                       if v != u))[:5]
         assert [(v, -s) for s, v in cand] == [(v, s) for _, v, s in sorted(got[u])]
     votes = vote_recommend(knn, r, n=3).collect()
     for u in range(3):
@@ -207,17 +208,17 @@ def test_votes_predictions_and_overlap_unchanged_by_block_split(spark):
     r = ratings_df(spark, data)
     q = r.select("user_id").where("user_id < 4").distinct()
     a = sorted(tuple(x) for x in user_overlap(r, q).collect())
-    b = sorted(tuple(x) for x in user_overlap(r, q, block_rows=2, max_broadcast_rows=0).collect())
+    b = sorted(tuple(x) for x in user_overlap(r, q, block_rows=2, max_broadcast_bytes=0).collect())
     assert a == b and a
     knn = agreement_knn(r, q, k=4)
     assert sorted(tuple(x) for x in vote_recommend(knn, r, 3).collect()) == \
         sorted(tuple(x) for x in vote_recommend(knn, r, 3, block_rows=2,
-                                                max_broadcast_rows=0).collect())
+                                                max_broadcast_bytes=0).collect())
     nb = item_neighbours(r, "cosine", k=5)
     hist = r.where("user_id < 4")
     assert sorted(tuple(x) for x in predict_ratings(hist, nb).collect()) == \
         sorted(tuple(x) for x in predict_ratings(hist, nb, block_rows=2,
-                                                 max_broadcast_rows=0).collect())
+                                                 max_broadcast_bytes=0).collect())
 
 
 @pytest.mark.parametrize("fill", [True, False])
@@ -233,12 +234,103 @@ def test_restricted_lists_equal_rows_of_full_lists(spark, fill):
         assert got == want and got
 
 
-def test_blocked_join_with_capped_hot_keys_keeps_all_rows(spark):
+def test_self_pairs_give_each_pair_once_in_order(spark):
     data = random_triples(12, users=6, items=25, per_user=(8, 20))
-    r = ratings_df(spark, data)
-    a = r.select("user_id", F.col("item_id").alias("ia"))
-    b = r.select("user_id", F.col("item_id").alias("ib"))
-    plain = sorted(tuple(x) for x in a.join(b, "user_id").collect())
-    for cap in (1, 2):
-        got = blocked_join(a, b, "user_id", "ia", "ib", block_rows=3, max_hot_keys=cap)
-        assert sorted(tuple(x) for x in got.select("user_id", "ia", "ib").collect()) == plain
+    r = materialize(ratings_df(spark, data).repartition(3), "pair-rows")
+    plain = sorted((u, i, x, j, y) for u, i, x in data for v, j, y in data if u == v and i < j)
+    for block in (3, 7, 10_000):
+        got = self_pairs(r, "user_id", "item_id", ["rating"], block_rows=block)
+        assert sorted(tuple(x) for x in got.select("user_id", "a_item_id", "a_rating", "b_item_id",
+                                                   "b_rating").collect()) == plain
+
+
+def test_a_key_with_a_third_of_the_rows_is_cut(spark):
+    """One user with 600 of 1800 ratings: no join key yields more than about
+    block_rows^2 pairs."""
+    data = [(0, i, 1 + i % 5) for i in range(600)] + [(u, i, 3) for u in range(1, 121) for i in range(10)]
+    r = materialize(ratings_df(spark, data), "hot-rows")
+    from corate.operators import pairs as P
+    got = self_pairs(r, "user_id", "item_id", [], block_rows=100)
+    assert got.count() == 600 * 599 // 2 + 120 * 45
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__i" in plan and "__j" in plan and "CartesianProduct" not in plan
+    assert P._partitions(r, 3 * P.PAIRS_PER_TASK * 8) >= 24
+    j = P.blocked_join(r.select("user_id", "item_id"), r.select("user_id", F.col("item_id").alias("o")),
+                       "user_id", "item_id", "o", block_rows=100)
+    assert j.count() == 600 * 600 + 120 * 100
+
+
+def test_key_means_are_joined_as_plain_scans_that_split(spark):
+    """With broadcasts off, adaptive execution splits the hot key."""
+    keep = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(keep, ("-1", "1k", "1.5", "4k", "false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        rows = spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("user_id"),
+            F.col("id").alias("item_id"), (F.col("id") % 5 + 1.0).alias("rating")).repartition(16)
+        r = materialize(rows, "hot-user")
+        for df in (clean.mean_centred(r, by="user_id"), clean.with_bucket_count(r, item="user_id")):
+            out = df.groupBy().count()
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_free_ranks(spark):
+    rnd = random.Random(4)
+    total, k = 30, 6
+    taken = {o: set(rnd.sample(range(total), n)) for o, n in enumerate([0, 1, 5, 20, 29, 30])}
+    rows = spark.createDataFrame([(o, r) for o, s in taken.items() for r in s], "o long, _r long")
+    owners = spark.createDataFrame([(o,) for o in taken], "o long")
+    got = {}
+    for o, r in free_ranks(rows, owners, "o", k, total).collect():
+        got.setdefault(o, []).append(r)
+    assert {o: sorted(x) for o, x in got.items()} == \
+        {o: [r for r in range(total) if r not in s][:k] for o, s in taken.items() if len(s) < total}
+
+
+def test_adjusted_cosine_does_not_depend_on_partitioning(spark):
+    """Two items with 20,000 common raters: one bit pattern for any order."""
+    rows = spark.range(20_000).select(F.col("id").alias("user_id"), F.explode(F.array(*[F.struct(
+        F.lit(i).cast("long").alias("item_id"),
+        ((F.xxhash64("id", F.lit(i)) % 5 + 5) % 5 + 1).cast("double").alias("rating")) for i in range(3)])).alias("x"))
+    rows = rows.select("user_id", "x.item_id", "x.rating")
+    seen = {m: set() for m in ("adjusted_cosine", "pearson")}
+    for n in (1, 3, 8):
+        r = rows.repartition(n, F.rand(n))
+        for m in seen:
+            seen[m].add(str(sorted(tuple(x) for x in item_similarity(r, m).collect())))
+    assert all(len(v) == 1 for v in seen.values())
+
+
+def test_items_with_one_value_have_no_pearson(spark):
+    data = [(u, 1, 1.1) for u in range(7)] + [(u, 2, 1.0 + u % 3) for u in range(7)] + [(u, 3, 5 - u % 2) for u in range(7)]
+    got = item_neighbours(ratings_df(spark, data), "pearson", k=5)
+    assert {(x["item_id"], x["neighbour_id"]) for x in got.collect()} == {(2, 3), (3, 2)}
+
+
+def test_seen_items_can_be_left_out_and_weights_made_absolute(spark):
+    r = ratings_df(spark, random_triples(9, users=15, items=12, per_user=(2, 10)))
+    q = r.select("user_id").where("user_id < 4").distinct()
+    own = {(x["user_id"], x["item_id"]) for x in r.collect()}
+    votes = vote_recommend(agreement_knn(r, q, k=4), r, 20, exclude_seen=True).collect()
+    assert votes and not {(x["query_user"], x["item_id"]) for x in votes} & own
+    nb = item_neighbours(r, "pearson", k=5)
+    top = item_based_recommend(r.where("user_id < 4"), nb, 20, exclude_seen=True).collect()
+    assert not {(x["user_id"], x["item_id"]) for x in top} & own
+    # the mean of ratings under absolute weights stays within their range
+    preds = predict_ratings(r.where("user_id < 4"), nb, abs_weights=True).collect()
+    assert preds and all(abs(x["prediction"]) <= 5 + 1e-9 for x in preds)
+    signed = {tuple(x)[:2]: x["prediction"] for x in predict_ratings(r.where("user_id < 4"), nb).collect()}
+    assert any(abs(signed[tuple(x)[:2]] - x["prediction"]) > 1e-6 for x in preds)
+
+
+def test_a_rating_outside_the_levels_fails_the_histogram(spark):
+    with pytest.raises(Exception, match="rating outside the levels: 7"):
+        clean.rating_histogram(ratings_df(spark, [(1, 2, 7.0)])).collect()

@@ -1,12 +1,14 @@
 """Readers and writers: edge lines, round trips."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from corate.session import ensure_checkpoint_dir
 from corate.sinks.text import (index_lines, recommendation_lines, triple_lines,
                                write_lines)
 from corate.sources.json import parse_reviews, read_reviews
 from corate.sources.text import (parse_index, parse_recommendation_lines, parse_triples,
-                                 read_triples, read_user_list)
+                                 read_triples, read_user_list, triple_line_counts)
 
 EDGE_LINES = [
     "270 368 5.000000",      # good
@@ -44,6 +46,50 @@ def test_index_keeps_string_keys_and_two_fields(spark):
     assert sorted(tuple(r) for r in df.collect()) == [("0385", 3), ("A1", 0)]
 
 
+def test_the_last_index_line_of_a_key_wins(spark):
+    df = parse_index(lines(spark, ["A 1", "B 7", "A 2"]).coalesce(1))
+    assert sorted(tuple(r) for r in df.collect()) == [("A", 2), ("B", 7)]
+
+
+def test_numbers_that_are_not_finite_are_rejected_and_counted(spark):
+    rows = lines(spark, ["1 2 3.0", "1 2 NaN", "1 2 Infinity", "1 2 -inf", "1 x 3", "1  2 3", "1 2", "1 2 4.5"])
+    assert sorted(tuple(r) for r in parse_triples(rows).collect()) == [(1, 2, 3.0), (1, 2, 4.5)]
+    assert tuple(triple_line_counts(rows).first()) == (8, 2, 2, 4)
+    assert tuple(triple_line_counts(rows, "whitespace").first()) == (8, 3, 1, 4)
+    assert tuple(triple_line_counts(rows.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_json_is_parsed_once(spark):
+    df = parse_reviews(lines(spark, ['{"reviewerID": "u", "asin": "a", "overall": 4.0}', '{"asin": "b"}', "x"]))
+    assert [tuple(r) for r in df.collect()] == [("u", "a", 4.0)]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_users_without_recommendations_get_a_line(spark):
+    recs = spark.createDataFrame([("U1", "B", 1)], "key string, item_key string, rank long")
+    users = spark.createDataFrame([("U1",), ("U2",)], "key string")
+    assert {r["key"]: r["value"] for r in recommendation_lines(recs, users=users).collect()} == \
+        {"U1": "U1: B ", "U2": "U2: "}
+
+
+def test_a_cluster_without_a_checkpoint_folder_is_refused():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_recommendation_lines_round_trip(spark):
     recs = spark.createDataFrame(
         [("U1", "B", 2), ("U1", "A", 1), ("U2", "C", 1)], "key string, item_key string, rank long")
