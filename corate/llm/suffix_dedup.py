@@ -110,22 +110,43 @@ def minimizers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _minimizer_rows(batches):
+    """(h, doc, at, known). Of places with the same minimizer in a batch one
+    is given with its h; the others are known to be repeated and are given
+    under a key of their own, so that a hot minimizer spreads."""
     for b in batches:
         docs = b.column(0).to_numpy(zero_copy_only=False)
+        parts = []
         for first, data, offsets in chunks(b.column(1)):
             at, h = minimizers(data, offsets)
-            if len(at):
-                text = np.searchsorted(offsets, at, "right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(h)), pa.array(docs[first + text]), pa.array((at - offsets[text]))],
-                    ["h", "doc", "at"])
+            text = np.searchsorted(offsets, at, "right") - 1
+            parts.append((h, docs[first + text], at - offsets[text]))
+        if not parts:
+            continue
+        h, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+        _, one, back, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        known = count[back] > 1
+        own = _own_key(doc, at)
+        # the one of each h, and every repeated place
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(signed(np.r_[h[one], own[known]])), pa.array(np.r_[doc[one], doc[known]]),
+             pa.array(np.r_[at[one], at[known]]), pa.array(np.arange(len(one) + known.sum()) >= len(one))],
+            ["h", "doc", "at", "known"])
+
+
+def _own_key(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return mix(doc.astype(np.int64).view(U) * U(0x9FB21C651E98DF25) + at.astype(U), 9)
 
 
 def _repeated(batches):
-    """(doc, at) of rows, sorted by h, whose h occurs at least twice."""
+    """(doc, at) of known rows, and of rows, sorted by h, whose h occurs at
+    least twice among the others."""
     last, given = None, False
     for b in batches:
+        known = b.column(3).to_numpy(zero_copy_only=False)
         h, doc, at = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        if known.any():
+            yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(at[known])], ["doc", "at"])
+            h, doc, at = h[~known], doc[~known], at[~known]
         if not len(h):
             continue
         if last is not None:
@@ -158,7 +179,10 @@ def _sampled(n: int, marks: np.ndarray) -> np.ndarray:
 
 
 def _sample_rows(batches):
-    """(name, context, doc, at) of the sampled places in repeated regions."""
+    """(name, context, doc, at, full) of the sampled places in repeated
+    regions. Of places of a batch with the same name and context the first
+    one is given with its name; the others have an earlier equal (``full``)
+    and are given under keys of their own, so that hot names spread."""
     for b in batches:
         docs = b.column(0).to_numpy(zero_copy_only=False)
         marks = b.column(2)
@@ -172,26 +196,36 @@ def _sample_rows(batches):
             context = mix(_substring(prefix, lo, hi, 3) + shape * U(0xD6E8FEB86659FD93))
             out.append((signed(name), signed(context), np.full(len(p), docs[i], np.int64), p))
             held += len(p)
-            if held > 100_000:
-                yield _rows(out, ["name", "context", "doc", "at"])
+            if held > 500_000:
+                yield _first_places(out)
                 out, held = [], 0
         if out:
-            yield _rows(out, ["name", "context", "doc", "at"])
+            yield _first_places(out)
 
 
-def _rows(parts, names) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names)
+def _first_places(parts) -> pa.RecordBatch:
+    name, context, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((at, doc, context, name))
+    name, context, doc, at = name[order], context[order], doc[order], at[order]
+    full = np.r_[False, (name[1:] == name[:-1]) & (context[1:] == context[:-1])][:len(name)]
+    name = np.where(full, signed(_own_key(doc, at)), name)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (name, context, doc, at, full)],
+                                      ["name", "context", "doc", "at", "full"])
 
 
 def _neighbours(batches):
     """From rows sorted by (name, context, doc, at): (name, doc, at, full).
 
-    ``full``: an earlier place has the same name and context. Other rows
+    Rows known to be full are passed on. ``full``: an earlier place has the same name and context. Other rows
     given out are the first places of each context of names with several.
     State between batches: the last row, and whether it was given out.
     """
     last, pending, several = None, None, False
     for b in batches:
+        known = b.column(4).to_numpy(zero_copy_only=False)
+        if known.any():
+            yield b.filter(pa.array(known)).select(["name", "doc", "at", "full"])
+            b = b.filter(pa.array(~known))
         name, ctx, doc, at = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         n = len(name)
         if not n:
@@ -373,12 +407,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``(doc, spans, kept)`` of distinct texts ``(doc, text)`` with unique,
     ordered non-null long ids: the maximal repeated byte runs and the
     remaining bytes, for each document that has any."""
-    marks = (_by_hash(docs.mapInArrow(_minimizer_rows, "h bigint, doc bigint, at bigint"), "h")
+    marks = (_by_hash(docs.mapInArrow(_minimizer_rows, "h bigint, doc bigint, at bigint, known boolean"), "h")
              .mapInArrow(_repeated, "doc bigint, at bigint"))
     marks = materialize(marks.groupBy("doc").agg(F.collect_list("at").alias("marks")), "repeat-marks")
     regional = materialize(_among(docs, marks).join(marks, "doc").select("doc", "text", "marks"), "regional-texts")
 
-    samples = regional.mapInArrow(_sample_rows, "name bigint, context bigint, doc bigint, at bigint")
+    samples = regional.mapInArrow(_sample_rows, "name bigint, context bigint, doc bigint, at bigint, full boolean")
     near = materialize(_by_hash(samples, "name", "context", "doc", "at")
                        .mapInArrow(_neighbours, "name bigint, doc bigint, at bigint, full boolean"), "neighbours")
     edges = near.where("NOT full").groupBy("doc").agg(F.collect_list(F.struct("name", "at")).alias("places"))
