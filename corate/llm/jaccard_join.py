@@ -47,9 +47,10 @@ from corate.llm.textscan import (U, build_filter, in_filter, mix, shingle_sets,
 from corate.session import materialize
 
 SHINGLE = 5
-#: Segments per shingle of a band's largest set, for sets below 32, below 128
-#: and above: more segments, more non-empty ones to choose from.
-SEGMENTS = ((32, 2.0), (128, 1.0), (None, 0.45))
+#: Segments per shingle of a band's largest set, for sets below 32, below 256
+#: and above: more segments cost more keys, but leave a set that shares a long
+#: passage with many others enough keys of its own to need no probe.
+SEGMENTS = ((32, 2.0), (256, 1.2), (None, 0.7))
 #: One segment in so many is double (all of them for sets below 32).
 DOUBLE_EVERY = 25
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
@@ -99,6 +100,14 @@ def set_keys(s: np.ndarray, segments=SEGMENTS) -> tuple[np.ndarray, int]:
     return np.concatenate(keys), value
 
 
+def set_value(s: np.ndarray, segments=SEGMENTS) -> int:
+    """The values that a non-empty set's own keys add up to."""
+    k = len(s).bit_length() - 1
+    m, doubles = _scheme(k, segments)
+    size = np.bincount(((mix(s, 11 + k) >> U(32)) * U(m) >> U(32)).astype(np.int64), minlength=doubles)
+    return int(np.count_nonzero(size) + np.count_nonzero(size[:doubles] >= 2))
+
+
 def _batch(schema: list[tuple[str, pa.Array]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x for _, x in schema], [n for n, _ in schema])
 
@@ -110,7 +119,7 @@ def _summaries(segments):
             for _, s in shingle_sets(b.column(1), SHINGLE):
                 n.append(len(s))
                 node.append(node_of(s) if len(s) else None)
-                value.append(set_keys(s, segments)[1] if len(s) else 0)
+                value.append(set_value(s, segments) if len(s) else 0)
             yield _batch([("doc_id", b.column(0)), ("version", b.column(2)), ("n", pa.array(n, pa.int64())),
                           ("node", pa.array(node, pa.int64())), ("value", pa.array(value, pa.int64()))])
     return run
@@ -174,40 +183,36 @@ def _shared(batches):
                           ("center", pa.array(centers[give]))])
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(node, text)`` of each class in ``nodes``, one text per class.
 
-    A fixed-size filter of the wanted nodes drops most other texts where
-    they are read; the join that follows is exact.
+    A class is found by the hash of one of its texts. A fixed-size filter of
+    the wanted hashes drops most other texts where they are read; the join
+    that follows is exact.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(build_filter(nodes, "node"))
+    wanted = materialize(nodes.join(classes.select("node", "version"), "node"), "wanted-texts")
+    bits = docs.sparkSession.sparkContext.broadcast(build_filter(wanted, "version"))
 
     def run(batches):
-        seen: set[int] = set()
+        seen: set[int] = set()  # copies within a task go once
         for b in batches:
-            rows, found = [], []
-            for i, s in shingle_sets(b.column(0), SHINGLE):
-                if len(s) and (node := node_of(s)) not in seen:
-                    rows.append(i)
-                    found.append(node)
-            if not rows:
-                continue
-            found = np.array(found, np.int64)
-            _, one = np.unique(found, return_index=True)
-            one = one[in_filter(bits.value, found[one].view(U))]
-            seen.update(found[one].tolist())
-            yield _batch([("node", pa.array(found[one])),
-                          ("text", b.column(0).take(pa.array(np.array(rows)[one])))])
-
-    return (docs.select("text").mapInArrow(run, "node bigint, text string")
-            .join(nodes, "node", "left_semi").dropDuplicates(["node"]))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+            version = b.column(0).to_numpy(zero_copy_only=False)
+            _, one = np.unique(version, return_index=True)
+            one = one[in_filter(bits.value, version[one].view(U))]
+            one = [i for i in one.tolist() if int(version[i]) not in seen]
+            seen.update(int(version[i]) for i in one)
+            if one:
+                yield b.take(pa.array(one))
+
+    texts = docs.select("version", "text").mapInArrow(run, "version bigint, text string")
+    return texts.join(wanted, "version").select("node", "text").dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough."""
     pairs = materialize(pairs, "candidates")
     ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-ends")
-    texts = materialize(_texts_of(docs, ends), "candidate-texts")
+    texts = materialize(_texts_of(docs, classes, ends), "candidate-texts")
 
     def run(batches):
         for b in batches:
@@ -241,7 +246,7 @@ def _uneven_links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
         return run
 
     kinds = "shingle bigint, node bigint"
-    texts = materialize(_texts_of(docs, uneven), "uneven-texts")
+    texts = materialize(_texts_of(docs, classes, uneven), "uneven-texts")
     mine = materialize(texts.select("text").mapInArrow(shingles(None), kinds), "uneven-shingles")
     bits = docs.sparkSession.sparkContext.broadcast(build_filter(mine, "shingle"))
     others = docs.select("text").mapInArrow(shingles(bits), kinds).distinct()
@@ -273,11 +278,11 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
         _summaries(segments), "doc_id bigint, version bigint, n bigint, node bigint, value bigint"), "shingle-sets")
     classes = materialize(rows.where("node IS NOT NULL").groupBy("node")
                           .agg(F.first("n").alias("n"), F.first("value").alias("value"),
-                               F.min("doc_id").alias("least")), "classes")
+                               F.min("doc_id").alias("least"), F.min("version").alias("version")), "classes")
     keys = docs.select("text").mapInArrow(_all_keys(segments), "key bigint, node bigint")
     group = F.shiftright("key", 2)
     shared = materialize(keys.repartition(group).sortWithinPartitions(group, "node")
-                         .mapInArrow(_shared, "key bigint, node bigint, center bigint"), "shared-keys")
+                         .mapInArrow(_shared, "key bigint, node bigint, center bigint").drop("center"), "shared-keys")
 
     def sized(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes allow a link."""
@@ -285,12 +290,27 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
         return (pairs.join(size("a"), "a").join(size("b"), "b")
                 .where("4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b"))
 
-    stars = shared.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialize(_verified(sized(stars), docs), "star-links")
+    # the centre of a key is its holder with the largest share of keys that
+    # others hold too: of near copies, the one they were made from. A star
+    # only has to connect most of a group (the probes below find the rest),
+    # so only holders that share a good part of the keys linked sets do are
+    # compared
+    values = classes.select("node", "value", (F.col("value") - F.floor(
+        (F.col("n") + F.floor(4 * F.col("n") / 3)) / 7)).alias("spare"))
+    score = materialize(shared.groupBy("node").agg(F.count(F.lit(1)).alias("c")).join(values, "node")
+                        .select("node", (F.col("c") / F.col("value")).alias("score"), "spare"), "node-scores")
+    ranked = materialize(shared.join(score.select("node", "score"), "node").withColumn("g", group), "ranked-keys")
+    centers = ranked.groupBy("g").agg(F.max(F.struct("score", "node")).alias("m")) \
+        .select("g", F.col("m.node").alias("a"))
+    stars = (ranked.select("g", F.col("node").alias("b")).join(centers, "g").where("a <> b")
+             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+             .join(score.select(F.col("node").alias("b"), "spare"), "b")
+             .where("common >= spare / 4").select("a", "b"))
+    links = materialize(_verified(sized(stars), docs, classes), "star-links")
     first = materialize(components(links), "star-components")
 
     # keys whose holders are not all connected yet
-    held = (shared.drop("center").join(first, "node", "left")
+    held = (shared.join(first, "node", "left")
             .withColumn("root", F.coalesce("root", "node")).withColumn("g", group))
     held = materialize(held.join(classes.select("node", "n", "value"), "node"), "held-keys")
     open_keys = (held.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
@@ -316,7 +336,7 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
                                     F.col("n").alias("nb")), "g")
             .where("ra <> rb AND nb >= na AND 4 * na >= 3 * nb")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = links.unionByName(_verified(more, docs))
+    links = links.unionByName(_verified(more, docs, classes))
     uneven = _uneven_links(docs, classes)
     if uneven is not None:
         links = links.unionByName(uneven)
