@@ -17,6 +17,11 @@ returned. The candidate search loses no link:
   has no unknown partner; otherwise it probes its cheapest (rarest) keys
   until H + 1 is reached, and its doubles if still needed.
 * Pairs are verified exactly on their texts' shingles.
+* A probed key with more than ``HOT_KEY`` holders that are still apart (near
+  copies just below the threshold, a passage that makes up most of its
+  texts) would give each such pair many times. Its holders are compared in
+  blocks instead: two blocks of about ``BLOCK`` sets meet in a task that
+  gives out links only.
 
 Groups are never expanded into all pairs: the holders of a key are first
 compared with one of them (a star), the verified links are closed to
@@ -53,6 +58,9 @@ SHINGLE = 5
 SEGMENTS = ((32, 2.0), (256, 1.2), (None, 0.7))
 #: One segment in so many is double (all of them for sets below 32).
 DOUBLE_EVERY = 25
+#: Probed keys with more holders are compared in blocks of so many sets.
+HOT_KEY = 256
+BLOCK = 512
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
 
 
@@ -228,6 +236,49 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
             .select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint"))
 
 
+def _block_links(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links among the members of each centre's group.
+
+    A group's members are dealt to blocks of about ``BLOCK`` by a hash; every
+    two blocks meet in one task, which counts the common shingles of all
+    their sets at once and gives out links only. A member is sent to as many
+    tasks as its group has blocks, and a task holds two blocks.
+    """
+    size = members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    texts = materialize(_texts_of(docs, classes, members.select("node").distinct()), "hot-texts")
+    rows = (members.join(size, "center").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node")
+            .join(texts, "node"))
+
+    def compare(key, block):
+        _, i, j = (x.as_py() for x in key)
+        own = block.column("own").to_numpy()
+        node = block.column("node").to_numpy()
+        found = dict(shingle_sets(block.column("text"), SHINGLE))
+        n = np.array([len(found[r]) for r in range(len(node))])
+        every, column = np.unique(np.concatenate([found[r] for r in range(len(node))]), return_inverse=True)
+        row = np.repeat(np.arange(len(node)), n)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        common = np.zeros((len(left), len(right)), np.int64)
+        place = np.full((2, len(node)), -1)
+        place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+        for at in range(0, len(every), 8192):  # shingles by the thousand, so that matrices stay small
+            here = (column >= at) & (column < at + 8192)
+            r, c = row[here], column[here] - at
+            m = [np.zeros((len(x), min(8192, len(every) - at)), np.float32) for x in (left, right)]
+            for k in (0, 1):
+                ok = place[k, r] >= 0
+                m[k][place[k, r[ok]], c[ok]] = 1
+            common += (m[0] @ m[1].T).astype(np.int64)
+        x, y = np.nonzero(100 * common >= 75 * (n[left][:, None] + n[right][None, :] - common))
+        a, b = node[left[x]], node[right[y]]
+        ok = a != b
+        return pa.table({"a": a[ok], "b": b[ok]})
+
+    return rows.groupBy("center", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 def _uneven_links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """Links of the sets whose values don't reach H + 1, by all shingles."""
     uneven = classes.where(F.col("value") < F.floor((F.col("n") + F.floor(4 * F.col("n") / 3)) / 7) + 1)
@@ -330,12 +381,19 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
     probes = (own.join(lacks, "node").withColumn("r", F.row_number().over(rank))
               .where(((F.col("kind") == _SINGLE) & (F.col("r") <= F.col("need")))
                      | ((F.col("kind") == _DOUBLE) & (F.col("need") > F.col("singles"))))
-              .select("g", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na")))
+              .select("g", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), "cost"))
     probes = materialize(probes, "probes")
-    more = (probes.join(held.select("g", F.col("node").alias("b"), F.col("root").alias("rb"),
-                                    F.col("n").alias("nb")), "g")
+    rare = probes.where(F.col("cost") <= HOT_KEY)
+    more = (rare.join(held.select("g", F.col("node").alias("b"), F.col("root").alias("rb"),
+                                  F.col("n").alias("nb")), "g")
             .where("ra <> rb AND nb >= na AND 4 * na >= 3 * nb")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    # holders of a probed hot key meet under the key's centre, in blocks
+    hot = probes.where(F.col("cost") > HOT_KEY).select("g").distinct().join(centers, "g")
+    hot = materialize(hot.withColumnRenamed("a", "center"), "hot-keys")
+    if not hot.isEmpty():
+        members = materialize(held.join(hot, "g").select("center", "node").distinct(), "hot-members")
+        links = links.unionByName(_block_links(members, docs, classes))
     links = links.unionByName(_verified(more, docs, classes))
     uneven = _uneven_links(docs, classes)
     if uneven is not None:

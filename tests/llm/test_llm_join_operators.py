@@ -129,8 +129,11 @@ def near_copies(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("segments", [jaccard_join.SEGMENTS, ((None, 0.02),)])
-def test_jaccard_components_match_brute_force(spark, segments):
+@pytest.mark.parametrize("segments, hot", [(jaccard_join.SEGMENTS, 256), (((None, 0.02),), 256),
+                                           (jaccard_join.SEGMENTS, 1)])
+def test_jaccard_components_match_brute_force(spark, segments, hot, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT_KEY", hot)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 512 if hot > 1 else 4)
     rows = near_copies(random.Random(11), 260) + ODD_DOCS
     frame = docs_frame(spark, rows)
     got = jaccard_join._row_components(frame, "doc_id", "text", segments).collect()
