@@ -59,7 +59,7 @@ SEGMENTS = ((32, 2.0), (256, 1.2), (None, 0.7))
 #: One segment in so many is double (all of them for sets below 32).
 DOUBLE_EVERY = 25
 #: Probed keys with more holders are compared in blocks of so many sets.
-HOT_KEY = 256
+HOT_KEY = 64
 BLOCK = 512
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
 

@@ -129,7 +129,7 @@ def near_copies(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("segments, hot", [(jaccard_join.SEGMENTS, 256), (((None, 0.02),), 256),
+@pytest.mark.parametrize("segments, hot", [(jaccard_join.SEGMENTS, 64), (((None, 0.02),), 64),
                                            (jaccard_join.SEGMENTS, 1)])
 def test_jaccard_components_match_brute_force(spark, segments, hot, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT_KEY", hot)
