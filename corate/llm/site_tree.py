@@ -12,17 +12,25 @@ A node's importance blends both, content weighing ``GAMMA`` per level, and
 takes its whole branch into account. Branches below ``MIN_IMPORTANCE`` on a
 host with at least ``MIN_PAGES`` distinct pages are cut from its pages.
 Equal pages of a host are merged as one, so copies don't make an article
-look like boilerplate; a page that would lose all its text keeps it.
-
-Entropy says nothing about hosts with few pages, so the markup's own
-evidence counts first: elements for navigation, forms, asides, footers and
-the like (by tag, role, class or id) have importance 0, and if a page has an
-``article`` (or else a ``main``) element, only its branches are kept.
+look like boilerplate; a page that would lose all its text keeps what is
+unmarked, or else all of it.
+
+The markup's own evidence is a prior. It marks branches for navigation,
+forms, asides, footers and the like (by tag, role, class or id), and what
+stands outside the page's ``article`` (or else ``main``) elements if these
+hold at least ``ARTICLE_SHARE`` of the unmarked text. No branch is marked
+that contains a ``main`` or the largest ``article``, nor by a name alone one
+with most of the page's text. All blocks are given to the tree; a marked
+node's importance is weighed by its mean share of its pages' text, so a
+marked branch stays if it holds much text that differs from page to page.
+Entropy says nothing about nodes on fewer than ``MIN_PAGES`` distinct pages:
+there the marks decide alone. Only elements that never show text (scripts,
+options, media and the like) are left out from the start.
 
 The tree is aggregated from one narrow row per distinct (page, node, block);
 a host with any share of the pages is pre-aggregated by node and block.
-Cut branches come back by a join on the host: that table holds only cut
-nodes, and Spark broadcasts it if its files are small.
+Cut and kept marked branches come back by a join on the host: that table
+holds only such nodes, and Spark broadcasts it if its files are small.
 
 Text blocks: character references decoded, white space of a block (also a
 line break) turned into one space, trimmed, empty ones dropped, joined by
@@ -37,6 +45,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,6 +57,7 @@ from corate.session import materialize
 GAMMA = 0.9
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.2
+ARTICLE_SHARE = 1 / 3
 
 # HTML's element kinds and usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,9 +65,10 @@ RAW = frozenset("script style noscript template textarea title iframe xmp".split
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rtc rp s samp "
     "small span strike strong sub sup time tt u var wbr br center".split())
-NOISE_TAGS = frozenset(
-    "head script style noscript template nav footer aside form button select option textarea iframe svg canvas "
-    "object embed applet audio video menu dialog title input".split())
+NEVER_TAGS = frozenset(
+    "head script style noscript template button select option textarea iframe svg canvas object embed applet audio "
+    "video title input".split())
+NOISE_TAGS = frozenset("nav footer aside form menu dialog".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                         "menubar toolbar status".split())
 NOISE_NAMES = frozenset(
@@ -77,53 +88,62 @@ _ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]
 _CUT = re.compile(r"[\s_\-]+")
 
 
+STYLE, CONTENT, MARK = range(3)  # kinds of the tree's rows
+
+
 class _Node:
-    __slots__ = ("tag", "label", "noise", "kids")
+    __slots__ = ("tag", "label", "never", "noise", "named", "up", "path", "kids", "size", "holds", "inside", "marks")
 
-    def __init__(self, tag: str, label: str, noise: bool):
-        self.tag, self.label, self.noise, self.kids = tag, label, noise, []
+    def __init__(self, tag: str, label: str, noise: bool = False, named: bool = False, up: _Node | None = None):
+        self.tag, self.label, self.noise, self.named, self.up = tag, label, noise, named, up
+        self.path = up.path + ">" + label if up and up.up else label
+        self.never = tag in NEVER_TAGS or bool(up and up.never)
+        self.kids, self.size, self.holds, self.inside, self.marks = [], 0, False, False, ()
 
 
-def _node(tag: str, raw: str, in_article: bool) -> _Node:
-    """An element with its presentation label, and whether markup says noise."""
-    noise, names = tag in NOISE_TAGS or (tag == "header" and not in_article), []
+def _node(tag: str, raw: str, up: _Node, in_article: bool) -> _Node:
+    """An element with its presentation label, whether markup says noise, and
+    whether only a name, a form or hiding does."""
+    sure, named, names = tag in NOISE_TAGS - {"form"} or (tag == "header" and not in_article), tag == "form", []
     for m in _ATTR.finditer(raw, raw.find(tag) + len(tag)) if " " in raw or "\n" in raw else ():
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() in ("class", "id"):
             names += value.split()
-            noise = noise or bool(NOISE_NAMES & {*value.split(), *_CUT.split(value)})
+            named = named or bool(NOISE_NAMES & {*value.split(), *_CUT.split(value)})
         elif m[1].lower() == "role":
-            noise = noise or value in NOISE_ROLES
+            sure = sure or value in NOISE_ROLES
         elif m[1].lower() == "hidden" or value == "true":
-            noise = True
-    return _Node(tag, ".".join([tag, *sorted(names)]), noise and tag not in ("html", "body", "article", "main"))
+            named = True
+    if tag in ("html", "body", "article", "main"):
+        sure = named = False
+    return _Node(tag, ".".join([tag, *sorted(names)]), sure or named, not sure, up)
 
 
-def parse(source: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, str]]:
-    """The text blocks (path, text, in article, in main) of a page, without
-    those the markup marks as noise, and each path's child tags in order."""
-    blocks: list[tuple[str, str, bool, bool]] = []
+def parse(source: str) -> tuple[list[tuple[str, str, tuple[str, ...]]], dict[str, str]]:
+    """The text blocks (path, text, paths of the marked nodes around it) of a
+    page, and each path's child tags in order."""
+    blocks: list[tuple[_Node, str]] = []
     styles: dict[str, str] = {}
-    stack: list[_Node] = []
+    root = _Node("", "")
+    stack: list[_Node] = [root]
+    nodes: list[_Node] = []
     text: list[str] = []
 
-    def path() -> str:
-        return ">".join(n.label for n in stack)
-
     def flush() -> None:
         if text:
             words = _html.unescape("".join(text)).split()
             text.clear()
-            if words and not any(n.noise for n in stack):
-                tags = {n.tag for n in stack}
-                blocks.append((path(), " ".join(words), "article" in tags, "main" in tags))
+            if words and not stack[-1].never:
+                blocks.append((stack[-1], " ".join(words)))
+                stack[-1].size += len(blocks[-1][1])
 
     def close(count: int) -> None:
         flush()
         for _ in range(count):
-            if not any(n.noise for n in stack):
-                styles[path()] = " ".join(stack[-1].kids)
-            stack.pop()
+            node = stack.pop()
+            if node.size:
+                styles[node.path] = " ".join(node.kids)
+                stack[-1].size += node.size
 
     at, end = 0, len(source)
     while at < end:
@@ -140,7 +160,7 @@ def parse(source: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, str
         if raw[1] == "/":
             if tag in INLINE:
                 continue
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
             if depth is not None:
                 close(len(stack) - depth)
             continue
@@ -157,29 +177,72 @@ def parse(source: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, str
             continue
         flush()
         if tag in CLOSES_P:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == "p"), None)
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), None)
             if depth is not None:
                 close(len(stack) - depth)
         for other in SELF_CLOSING.get(tag, ()):
-            if stack and stack[-1].tag == other:
+            if stack[-1].tag == other:
                 close(1)
-        node = _node(tag, raw, any(n.tag in ("article", "main") for n in stack))
-        if stack:
-            if not stack[-1].kids or stack[-1].kids[-1] != node.label:
-                stack[-1].kids.append(node.label)  # runs of like children count once
+        node = _node(tag, raw, stack[-1], any(n.tag in ("article", "main") for n in stack))
+        kids = stack[-1].kids
+        if not kids or kids[-1] != node.label:
+            kids.append(node.label)  # runs of like children count once
         if tag not in VOID:
             stack.append(node)
-    flush()
-    close(len(stack))
-    return blocks, styles
-
-
-def article_blocks(blocks: list[tuple[str, str, bool, bool]]) -> list[tuple[str, str]]:
-    """Those inside an article, or else inside main, or else all."""
-    for k in (2, 3):
-        if any(b[k] for b in blocks):
-            return [b[:2] for b in blocks if b[k]]
-    return [b[:2] for b in blocks]
+            nodes.append(node)
+    close(len(stack) - 1)
+    return _marked(root, nodes, blocks, styles), styles
+
+
+def _marked(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str]],
+            styles: dict[str, str]) -> list[tuple[str, str, tuple[str, ...]]]:
+    """The blocks with the marked nodes around them, by the markup's evidence."""
+    for n in nodes:
+        if n.noise and n.named and 2 * n.size > root.size:
+            n.noise = False
+    tops: dict[str, list[_Node]] = {"article": [], "main": []}
+    for n in nodes:  # outermost ones with text
+        if n.tag in tops and n.size:
+            up = n.up
+            while up and up.tag != n.tag:
+                up = up.up
+            if not up:
+                tops[n.tag].append(n)
+    for n in [*tops["main"], *sorted(tops["article"], key=lambda n: -n.size)[:1]]:
+        while n:
+            n.noise, n = False, n.up
+    for n in nodes:
+        n.marks = (*n.up.marks, n.path) if n.noise else n.up.marks
+    plain = sum(len(t) for n, t in blocks if not n.marks)
+    chosen: list[_Node] = []
+    for kind in ("article", "main"):
+        mine = [n for n in tops[kind] if not n.marks]
+        if mine and sum(n.size for n in mine) >= ARTICLE_SHARE * plain:
+            chosen = mine
+            break
+    if chosen:
+        for n in chosen:
+            n.inside, up = True, n.up
+            while up and not up.holds:
+                up.holds, up = True, up.up
+        for n in nodes:  # the topmost ones beside the chosen are marked
+            n.inside = n.inside or n.up.inside
+            beside = n.up.holds and not n.holds and not n.inside
+            n.marks = (*n.up.marks, n.path) if n.noise or beside else n.up.marks
+    out = []
+    for n, t in blocks:
+        path, marks = n.path, n.marks
+        if n.holds and not n.inside:  # text straight in an element around the chosen
+            path = path + ">#"
+            marks = (*marks, path)
+            styles[path] = ""
+        out.append((path, t, marks))
+    return out
+
+
+def unmarked_texts(blocks: list[tuple[str, str, tuple[str, ...]]]) -> list[str]:
+    """The texts that markup alone keeps, or else all."""
+    return [t for _, t, marks in blocks if not marks] or [t for _, t, _ in blocks]
 
 
 def _hash(text: str) -> int:
@@ -190,28 +253,31 @@ def _hash(text: str) -> int:
 
 
 def _tree_rows(batches):
-    """(host, page, content, path, feature): the distinct text blocks and
-    child sequences of each page; equal pages of a batch once."""
+    """(host, page, kind, path, feature): the distinct text blocks, child
+    sequences and marked nodes (with their share of the page's text in
+    thousandths) of each page; equal pages of a batch once."""
     seen: set[tuple[str, int]] = set()
     for b in batches:
         out = []
         for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             blocks, styles = parse(source or "")
-            kept = article_blocks(blocks)
-            page = _hash("\n".join(t for _, t in kept))
+            page = _hash("\n".join(unmarked_texts(blocks)))
             if (host, page) in seen:
                 continue
             seen.add((host, page))
-            rows = {(p, True, _hash(t)) for p, t in kept}
-            paths = {p for p, _ in kept}
-            rows |= {(p, False, _hash(s)) for p, s in styles.items()
-                     if any(q == p or q.startswith(p + ">") for q in paths)}
-            out += [(host, page, c, p, f) for p, c, f in rows]
+            total, marked = sum(len(t) for _, t, _ in blocks), Counter()
+            for _, t, marks in blocks:
+                for p in set(marks):
+                    marked[p] += len(t)
+            rows = {(CONTENT, p, _hash(t)) for p, t, _ in blocks}
+            rows |= {(STYLE, p, _hash(s)) for p, s in styles.items()}
+            rows |= {(MARK, p, 1000 * n // total) for p, n in marked.items()}
+            out += [(host, page, *r) for r in rows]
         if out:
             cols = list(zip(*out, strict=True))
-            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)],
-                                             ["host", "page", "content", "path", "feature"])
+                                             ["host", "page", "kind", "path", "feature"])
 
 
 def host_of(url: Column) -> Column:
@@ -219,19 +285,26 @@ def host_of(url: Column) -> Column:
 
 
 def node_importance(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """``(host, path, pages, importance)`` of every node of the sites' style
-    trees, from ``(host, html)``."""
+    """``(host, path, pages, importance, content, weight, marked)`` of every
+    node of the sites' style trees, from ``(host, html)``: ``weight`` is the
+    markup's prior, ``marked`` the number of pages whose markup marks it."""
     rows = (pages.select("host", "html").mapInArrow(
-        _tree_rows, "host string, page bigint, content boolean, path string, feature bigint").distinct())
-    uses = rows.groupBy("host", "content", "path", "feature").agg(F.count(F.lit(1)).alias("df"))
+        _tree_rows, "host string, page bigint, kind int, path string, feature bigint").distinct())
+    uses = rows.groupBy("host", "kind", "path", "feature").agg(F.count(F.lit(1)).alias("df"))
     uses = materialize(uses, "node-features")
     # pages that hold a path: each page has one style per path
-    style = uses.where("NOT content").groupBy("host", "path").agg(
-        F.sum("df").alias("pages"), F.sum(F.col("df") * F.log(F.col("df").cast("double"))).alias("x"))
-    m = F.col("pages")
+    df, is_style = F.col("df"), F.col("kind") == STYLE
+    style = uses.where(F.col("kind") != CONTENT).groupBy("host", "path").agg(
+        F.sum(F.when(is_style, df).otherwise(0)).alias("pages"),
+        F.sum(F.when(is_style, df * F.log(df.cast("double"))).otherwise(0.0)).alias("x"),
+        F.sum(F.when(is_style, 0).otherwise(df)).alias("marked"),
+        F.sum(F.when(is_style, 0).otherwise(df * F.col("feature"))).alias("share"))
+    m, marked = F.col("pages"), F.col("marked")
     spread = F.when(m > 1, (F.log(m.cast("double")) - F.col("x") / m) / F.log(m.cast("double"))).otherwise(F.lit(1.0))
-    style = style.select("host", "path", "pages", spread.alias("presentation"))
-    leaf = uses.where("content").join(style.select("host", "path", "pages"), ["host", "path"])
+    weight = F.when(marked > 0, (F.col("share") / 1000 + F.greatest(m - marked, F.lit(0))) / F.greatest(m, marked))
+    style = style.select("host", "path", "pages", spread.alias("presentation"), "marked",
+                         F.coalesce(weight, F.lit(1.0)).alias("weight"))
+    leaf = uses.where(F.col("kind") == CONTENT).join(style.select("host", "path", "pages"), ["host", "path"])
     entropy = F.when(m > 1, F.log(F.col("df").cast("double")) / F.log(m.cast("double"))).otherwise(F.lit(0.0))
     leaf = leaf.groupBy("host", "path").agg(F.sum(1.0 - entropy).alias("imp"), F.count(F.lit(1)).alias("n"))
     parts = F.split("path", ">")
@@ -245,16 +318,26 @@ def node_importance(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
     return (below.join(style, ["host", "path"])
             .select("host", "path", "pages",
                     ((1 - share) * F.col("presentation") + share * F.col("content")).alias("importance"),
-                    "content"))
+                    "content", "weight", "marked"))
+
+
+def _is_cut(path: str, cut: set[str]) -> bool:
+    """Whether the path or one around it is cut."""
+    at = len(path)
+    while at >= 0:
+        if path[:at] in cut:
+            return True
+        at = path.rfind(">", 0, at)
+    return False
 
 
 def _extract(batches):
     for b in batches:
         texts = []
-        for source, cut in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            kept = article_blocks(parse(source or "")[0])
-            left = [t for p, t in kept if not any(p == c or p.startswith(c + ">") for c in cut or ())]
-            texts.append("\n".join(left or [t for _, t in kept]))
+        for source, cut, saved in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            blocks, cut, saved = parse(source or "")[0], set(cut or ()), set(saved or ())
+            left = [t for p, t, marks in blocks if saved.issuperset(marks) and not _is_cut(p, cut)]
+            texts.append("\n".join(left or unmarked_texts(blocks)))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
                                          ["page_id", "url", "text"])
 
@@ -265,12 +348,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
                         text_of(F.col(f"`{html_col}`")).alias("html"),
                         host_of(F.col(f"`{url_col}`")).alias("host"))
-    low = (node_importance(rows).where((F.col("pages") >= min_pages) & (F.col("content") < min_importance)
-                                       & (F.col("importance") < min_importance))
-           .groupBy("host").agg(F.collect_set("path").alias("cut")))
-    low = materialize(low, "low-branches")  # cut nodes of templates: few per host
+    weighed = [F.col("weight") * F.col(c) < min_importance for c in ("content", "importance")]
+    low = (node_importance(rows).where(F.col("pages") >= min_pages)
+           .select("host", "path", "marked", (weighed[0] & weighed[1]).alias("low"))
+           .where("low OR marked > 0").groupBy("host").agg(
+               F.collect_set(F.when(F.col("low"), F.col("path"))).alias("cut"),
+               F.collect_set(F.when(~F.col("low"), F.col("path"))).alias("saved")))
+    low = materialize(low, "judged-branches")  # such nodes of templates: few per host
     kind = rows.schema["page_id"].dataType.simpleString()
-    return (rows.join(low, "host", "left").select("page_id", "url", "html", "cut")
+    return (rows.join(low, "host", "left").select("page_id", "url", "html", "cut", "saved")
             .mapInArrow(_extract, f"page_id {kind}, url string, text string"))
 
 

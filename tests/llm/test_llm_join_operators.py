@@ -216,6 +216,29 @@ def test_html_main_text_without_an_article_element(spark):
     assert site_tree.main_text(frame.limit(0)).count() == 0
 
 
+def test_html_main_text_is_not_lost_to_names_or_teasers(spark):
+    rng = random.Random(5)
+    words = lambda n=12: " ".join(f"t{rng.randrange(9999)}" for _ in range(n))
+    side = '<div class="sidebar"><p>Side</p></div>'
+    rows, exp = [], {}
+    for i, body in enumerate([
+            '<div class="content-sidebar-wrap"><nav>' + words(90) + '</nav><main><p>{}</p></main>' + side + '</div>',
+            '<div class="layout has-sidebar"><div><p>{}</p></div>' + side + '</div>',
+            '<form id="aspnetForm"><article><p>{}</p></article>' + side + '</form>',
+            '<div><p>{}</p></div><div class="more"><article>Teaser</article><article>Two</article></div>']):
+        exp[i] = words()
+        rows.append((i, f"http://few{i}.example/", "<body>" + body.format(exp[i]) + "<footer>end</footer></body>"))
+    exp[3] += "\nTeaser\nTwo"  # few pages: nothing tells that unlisted teasers are noise
+    for i in range(100, 120):  # the tree keeps a listed name whose texts differ, and cuts one whose texts don't
+        own, notice = words(16), words(11)
+        rows.append((i, f"http://many.example/{i}", f'<div class="notice"><p>{notice}</p></div><article><p>{own}</p>'
+                                                    f'</article><div class="related"><p>Read on</p></div>'
+                                                    f'<nav><p>{words(1)}</p></nav>'))
+        exp[i] = notice + "\n" + own
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in site_tree.main_text(frame).collect()} == exp
+
+
 def luhn(d):
     s = [int(c) for c in d[::-1]]
     return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(s)) % 10 == 0
