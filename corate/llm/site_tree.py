@@ -1,7 +1,11 @@
 """Operator 3: main text of web pages by a site style tree.
 
-Pages become trees of block elements (presentation: tag, classes, role) with
-text blocks as content. The trees of one host are merged; per node
+Pages become trees of block elements (presentation: tag and classes) with
+text blocks as content. The trees of one host are merged by labels that its
+pages share: without ids and the names of html and body, digits of a class
+as ``#``, and only classes on at least ``MIN_PAGES`` pages and one page in
+``NAME_SHARE``; a rarer class would give its pages a path of their own that
+the tree can't judge. Per node
 
 * presentation importance is the entropy, to the base of the number of
   pages, of the child sequences seen under it, and
@@ -58,6 +62,7 @@ GAMMA = 0.9
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.2
 ARTICLE_SHARE = 1 / 3
+NAME_SHARE = 1000
 
 # HTML's element kinds and usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,9 +91,11 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>"'
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _CUT = re.compile(r"[\s_\-]+")
+_DIGITS = re.compile(r"[0-9]+")
 
 
-STYLE, CONTENT, MARK = range(3)  # kinds of the tree's rows
+STYLE, CONTENT, MARK, NAME = range(4)  # kinds of the tree's rows
+NOISE = "!"  # in the label of an element that markup calls noise
 
 
 class _Node:
@@ -108,7 +115,8 @@ def _node(tag: str, raw: str, up: _Node, in_article: bool) -> _Node:
     for m in _ATTR.finditer(raw, raw.find(tag) + len(tag)) if " " in raw or "\n" in raw else ():
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() in ("class", "id"):
-            names += value.split()
+            if m[1].lower() == "class":
+                names += _DIGITS.sub("#", value).replace(".", "_").replace(">", "_").split()
             named = named or bool(NOISE_NAMES & {*value.split(), *_CUT.split(value)})
         elif m[1].lower() == "role":
             sure = sure or value in NOISE_ROLES
@@ -116,7 +124,9 @@ def _node(tag: str, raw: str, up: _Node, in_article: bool) -> _Node:
             named = True
     if tag in ("html", "body", "article", "main"):
         sure = named = False
-    return _Node(tag, ".".join([tag, *sorted(names)]), sure or named, not sure, up)
+        names = [] if tag in ("html", "body") else names
+    names += [NOISE] if sure or named else []
+    return _Node(tag, ".".join([tag, *sorted(set(names))]), sure or named, not sure, up)
 
 
 def parse(source: str) -> tuple[list[tuple[str, str, tuple[str, ...]]], dict[str, str]]:
@@ -185,8 +195,8 @@ def parse(source: str) -> tuple[list[tuple[str, str, tuple[str, ...]]], dict[str
                 close(1)
         node = _node(tag, raw, stack[-1], any(n.tag in ("article", "main") for n in stack))
         kids = stack[-1].kids
-        if not kids or kids[-1] != node.label:
-            kids.append(node.label)  # runs of like children count once
+        if not kids or kids[-1] != tag:
+            kids.append(tag)  # runs of like children count once
         if tag not in VOID:
             stack.append(node)
             nodes.append(node)
@@ -252,10 +262,23 @@ def _hash(text: str) -> int:
                           "little", signed=True)
 
 
+def shared_path(path: str, names: set[str]) -> str:
+    """The path with only those classes that are among the host's names."""
+    return ">".join(".".join(x for i, x in enumerate(n.split(".")) if not i or x == NOISE or x in names)
+                    for n in path.split(">"))
+
+
+def _shared_path(path: Column, names: Column) -> Column:
+    keep = lambda x, i: (i == 0) | (x == NOISE) | F.array_contains(names, x)
+    return F.array_join(F.transform(F.split(path, ">"), lambda n: F.array_join(
+        F.filter(F.split(n, "[.]"), keep), ".")), ">")
+
+
 def _tree_rows(batches):
     """(host, page, kind, path, feature): the distinct text blocks, child
-    sequences and marked nodes (with their share of the page's text in
-    thousandths) of each page; equal pages of a batch once."""
+    sequences, marked nodes (with their share of the page's text in
+    thousandths) and classes (and '' for the page) of each page; equal pages
+    of a batch once."""
     seen: set[tuple[str, int]] = set()
     for b in batches:
         out = []
@@ -272,6 +295,7 @@ def _tree_rows(batches):
             rows = {(CONTENT, p, _hash(t)) for p, t, _ in blocks}
             rows |= {(STYLE, p, _hash(s)) for p, s in styles.items()}
             rows |= {(MARK, p, 1000 * n // total) for p, n in marked.items()}
+            rows |= {(NAME, x, 0) for p in styles for n in p.split(">") for x in n.split(".")[1:]} | {(NAME, "", 0)}
             out += [(host, page, *r) for r in rows]
         if out:
             cols = list(zip(*out, strict=True))
@@ -284,17 +308,38 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
 
 
-def node_importance(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
+def tree_rows(pages: DataFrame, min_pages: int = MIN_PAGES) -> tuple[DataFrame, DataFrame]:
+    """The rows of the pages' trees and ``(host, names)``, the classes that a
+    host's labels keep, from ``(host, html)``."""
+    rows = materialize(pages.select("host", "html").mapInArrow(
+        _tree_rows, "host string, page bigint, kind int, path string, feature bigint").distinct(), "page-nodes")
+    names = (rows.where(F.col("kind") == NAME).groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= min_pages))
+    total = names.where("path = ''").select("host", F.col("n").alias("total"))
+    names = (names.join(total, "host").where((F.col("path") != "") & (F.col("n") * NAME_SHARE >= F.col("total")))
+             .groupBy("host").agg(F.collect_set("path").alias("names")))
+    return rows.where(F.col("kind") != NAME), materialize(names, "host-names")
+
+
+def node_importance(rows: DataFrame, names: DataFrame, gamma: float = GAMMA) -> DataFrame:
     """``(host, path, pages, importance, content, weight, marked)`` of every
-    node of the sites' style trees, from ``(host, html)``: ``weight`` is the
+    node of the sites' style trees, from ``tree_rows``: ``weight`` is the
     markup's prior, ``marked`` the number of pages whose markup marks it."""
-    rows = (pages.select("host", "html").mapInArrow(
-        _tree_rows, "host string, page bigint, kind int, path string, feature bigint").distinct())
+    path = F.when(F.col("names").isNull(), _shared_path(F.col("path"), F.array().cast("array<string>"))) \
+        .otherwise(_shared_path(F.col("path"), F.col("names")))
+    is_style, is_content = (F.col("kind") == k for k in (STYLE, CONTENT))
+    # nodes of a page that got the same path: one style, their marks together
+    rows = (rows.join(names, "host", "left")
+            .groupBy("host", "page", "kind", path.alias("path"), F.when(is_content, F.col("feature")).alias("block"))
+            .agg(F.min("feature").alias("low"), F.least(F.sum(F.when(F.col("kind") == MARK, F.col("feature"))),
+                                                        F.lit(1000)).alias("share"))
+            .select("host", "kind", "path", F.when(is_content, F.col("block")).when(is_style, F.col("low"))
+                    .otherwise(F.col("share")).alias("feature")))
     uses = rows.groupBy("host", "kind", "path", "feature").agg(F.count(F.lit(1)).alias("df"))
     uses = materialize(uses, "node-features")
     # pages that hold a path: each page has one style per path
-    df, is_style = F.col("df"), F.col("kind") == STYLE
-    style = uses.where(F.col("kind") != CONTENT).groupBy("host", "path").agg(
+    df = F.col("df")
+    style = uses.where(~is_content).groupBy("host", "path").agg(
         F.sum(F.when(is_style, df).otherwise(0)).alias("pages"),
         F.sum(F.when(is_style, df * F.log(df.cast("double"))).otherwise(0.0)).alias("x"),
         F.sum(F.when(is_style, 0).otherwise(df)).alias("marked"),
@@ -304,7 +349,7 @@ def node_importance(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
     weight = F.when(marked > 0, (F.col("share") / 1000 + F.greatest(m - marked, F.lit(0))) / F.greatest(m, marked))
     style = style.select("host", "path", "pages", spread.alias("presentation"), "marked",
                          F.coalesce(weight, F.lit(1.0)).alias("weight"))
-    leaf = uses.where(F.col("kind") == CONTENT).join(style.select("host", "path", "pages"), ["host", "path"])
+    leaf = uses.where(is_content).join(style.select("host", "path", "pages"), ["host", "path"])
     entropy = F.when(m > 1, F.log(F.col("df").cast("double")) / F.log(m.cast("double"))).otherwise(F.lit(0.0))
     leaf = leaf.groupBy("host", "path").agg(F.sum(1.0 - entropy).alias("imp"), F.count(F.lit(1)).alias("n"))
     parts = F.split("path", ">")
@@ -334,9 +379,10 @@ def _is_cut(path: str, cut: set[str]) -> bool:
 def _extract(batches):
     for b in batches:
         texts = []
-        for source, cut, saved in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            blocks, cut, saved = parse(source or "")[0], set(cut or ()), set(saved or ())
-            left = [t for p, t, marks in blocks if saved.issuperset(marks) and not _is_cut(p, cut)]
+        for source, cut, saved, names in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+            blocks, cut, saved, names = parse(source or "")[0], *(set(x or ()) for x in (cut, saved, names))
+            left = [t for p, t, marks in blocks if all(shared_path(m, names) in saved for m in marks)
+                    and not _is_cut(shared_path(p, names), cut)]
             texts.append("\n".join(left or unmarked_texts(blocks)))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
                                          ["page_id", "url", "text"])
@@ -349,14 +395,16 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                         text_of(F.col(f"`{html_col}`")).alias("html"),
                         host_of(F.col(f"`{url_col}`")).alias("host"))
     weighed = [F.col("weight") * F.col(c) < min_importance for c in ("content", "importance")]
-    low = (node_importance(rows).where(F.col("pages") >= min_pages)
+    nodes, names = tree_rows(rows, min_pages)
+    low = (node_importance(nodes, names).where(F.col("pages") >= min_pages)
            .select("host", "path", "marked", (weighed[0] & weighed[1]).alias("low"))
            .where("low OR marked > 0").groupBy("host").agg(
                F.collect_set(F.when(F.col("low"), F.col("path"))).alias("cut"),
-               F.collect_set(F.when(~F.col("low"), F.col("path"))).alias("saved")))
-    low = materialize(low, "judged-branches")  # such nodes of templates: few per host
+               F.collect_set(F.when(~F.col("low"), F.col("path"))).alias("saved"))
+           .join(names, "host", "left"))
+    low = materialize(low, "judged-branches")  # such nodes and classes of templates: few per host
     kind = rows.schema["page_id"].dataType.simpleString()
-    return (rows.join(low, "host", "left").select("page_id", "url", "html", "cut", "saved")
+    return (rows.join(low, "host", "left").select("page_id", "url", "html", "cut", "saved", "names")
             .mapInArrow(_extract, f"page_id {kind}, url string, text string"))
 
 

@@ -239,6 +239,20 @@ def test_html_main_text_is_not_lost_to_names_or_teasers(spark):
     assert {r.page_id: r.text for r in site_tree.main_text(frame).collect()} == exp
 
 
+def test_html_nodes_with_names_of_their_own_are_merged(spark):
+    rng = random.Random(6)
+    words = lambda: " ".join(f"t{rng.randrange(9999)}" for _ in range(12))
+    rows, exp = [], {}
+    for i in range(20):
+        exp[i] = words()
+        slug = "slug-" + "abcdefghijklmnopqrst"[i]  # on one page only
+        rows.append((i, f"http://blog.example/{i}", f'<html class="{slug}"><body class="post-{i} {slug}">'
+                        f'<div id="post-{i}" class="post-{i} post {slug}"><div class="box"><p>The same on all</p></div>'
+                        f'<div class="text" id="x{slug}"><p>{exp[i]}</p></div></div></body></html>'))
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in site_tree.main_text(frame).collect()} == exp
+
+
 def luhn(d):
     s = [int(c) for c in d[::-1]]
     return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(s)) % 10 == 0
