@@ -8,7 +8,9 @@ each hit is verified around its diagonal: an item leaks into a document if
 ``MAX_SUBSTITUTIONS`` of them replaced. The masks are lossless for this: for
 every choice of two replaced words among 13, one mask at one place picks
 none of them (checked by a test over all 78 choices). An item shorter than
-the window leaks if it occurs as a whole, unchanged.
+the window leaks if it occurs as a whole: one of at least ``MIN_MASKED``
+words with at most one of them replaced (the same masks are lossless for
+that, also tested), a shorter one unchanged.
 
 A filter of fixed size (4 MB) made from the items' seeds drops nearly all
 other seeds where the texts are read, so neither the benchmark nor the
@@ -35,9 +37,15 @@ from corate.session import materialize
 
 WINDOW = 13
 MAX_SUBSTITUTIONS = 2
+MIN_MASKED = 10  # shorter items are matched unchanged
 MASKS = ("11110111", "1110100111", "1100111011", "11111101")
 
 
+def substitutions(n: int) -> int:
+    """How many words may be replaced in the window of an item of n words."""
+    return MAX_SUBSTITUTIONS if n >= WINDOW else int(n >= MIN_MASKED)
+
+
 def seeds(words: np.ndarray, ends: np.ndarray, picked: tuple[int, ...], salt: int):
     """Seeds of one mask at every place of ``words`` where it fits before
     the end of its text: (places, hashes). ``ends``: end of each word's text."""
@@ -68,7 +76,7 @@ def _item_seeds(batches):
             for i in range(len(offsets) - 1):
                 w = words[at[i]:at[i + 1]]
                 n = len(w)
-                shapes = _shapes([n])[-1:] if n < WINDOW else _shapes([])
+                shapes = _shapes([n])[-1:] if n < MIN_MASKED else _shapes([])
                 for picked, salt in shapes if n else []:
                     p, h = seeds(w, np.full(n, n), picked, salt)
                     seed.append(h)
@@ -118,7 +126,7 @@ def best_overlap(words: np.ndarray, item: np.ndarray, diagonals) -> tuple[int, i
     text's words on one of the diagonals, if it has few enough substitutions."""
     n, best = len(item), None
     size = min(WINDOW, n)
-    allowed = MAX_SUBSTITUTIONS if n >= WINDOW else 0
+    allowed = substitutions(n)
     for d in sorted(diagonals):
         same = np.zeros(n, np.int64)
         lo, hi = max(0, -d), min(n, len(words) - d)
@@ -164,7 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                                          text_of(F.col(f"`{item_text_col}`")).alias("item_text"))
                         .where("item IS NOT NULL").dropDuplicates(["item", "item_text"]), "items")
     n = F.size(F.filter(F.split("item_text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
-    short = [r[0] for r in items.select(n.alias("n")).where(f"n > 0 AND n < {WINDOW}").distinct().collect()]
+    short = [r[0] for r in items.select(n.alias("n")).where(f"n > 0 AND n < {MIN_MASKED}").distinct().collect()]
     wanted = materialize(items.mapInArrow(_item_seeds, "seed bigint, item bigint, item_at bigint"), "item-seeds")
     bits = spark.sparkContext.broadcast(build_filter(wanted, "seed"))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(F.col(f"`{text_col}`")).alias("text"))

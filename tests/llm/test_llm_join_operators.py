@@ -66,6 +66,24 @@ def test_decontamination_matches_brute_force(spark):
     assert decontaminate.leaks(frame.limit(0), bench).count() == 0
 
 
+def test_short_items_are_found_with_one_replaced_word(spark):
+    masks = [{i for i, c in enumerate(m) if c == "1"} for m in decontaminate.MASKS]
+    items, rows, exp = [], [], set()
+    for n in (9, 10, 11, 12):
+        w = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(w)))
+        for k in range(n):
+            assert n < 10 or any(k - s not in m for m in masks for s in range(n - max(m)))
+            rows.append((100 * n + k, " ".join(["before", *w[:k], w[k] + "?", *w[k + 1:], "after"])))
+            exp |= {(100 * n + k, n)} if n > 9 else set()
+        rows.append((100 * n + 50, " ".join([*w[:2], "x", *w[3:5], "x", *w[6:]])))  # two words replaced
+        rows.append((100 * n + 60, " ".join(w)))
+        exp.add((100 * n + 60, n))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == exp
+
+
 def random_texts(rng, n):
     parts = ["".join(rng.choice("ab é") for _ in range(rng.randrange(40, 260))) for _ in range(6)]
     out = []
