@@ -20,7 +20,8 @@ split.
 
 Defined results: null or empty texts and items match nothing. Rows sharing
 a doc_id (also a null one) are checked each and reported each. Items that
-share an id are one item. An empty benchmark leaks nowhere; an empty table
+share an id are one item; those without an id are searched too and reported
+as one item whose id is null. An empty benchmark leaks nowhere; an empty table
 gives an empty table.
 """
 
@@ -168,9 +169,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found in documents, with the matching words and the words' span.
     ``version`` is a hash of the row's text."""
     spark = docs.sparkSession
-    items = materialize(benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item"),
-                                         text_of(F.col(f"`{item_text_col}`")).alias("item_text"))
-                        .where("item IS NOT NULL").dropDuplicates(["item", "item_text"]), "items")
+    items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"),
+                             text_of(F.col(f"`{item_text_col}`")).alias("item_text")).distinct()
+    items = materialize(items.select(F.monotonically_increasing_id().alias("item"), "item_text", "item_id"), "items")
     n = F.size(F.filter(F.split("item_text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
     short = [r[0] for r in items.select(n.alias("n")).where(f"n > 0 AND n < {MIN_MASKED}").distinct().collect()]
     wanted = materialize(items.mapInArrow(_item_seeds, "seed bigint, item bigint, item_at bigint"), "item-seeds")
@@ -190,9 +191,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     kinds = "uid bigint, item bigint, matched bigint, start bigint, end bigint"
     good = (pairs.join(found.select("uid", "text"), "uid").join(items, "item")
             .select("uid", "item", "text", "item_text", "diagonals").mapInArrow(_verify, kinds)
-            .groupBy("uid", "item").agg(F.max(F.struct("matched", "start", "end")).alias("m")))
+            .join(items.select("item", "item_id"), "item")
+            .groupBy("uid", "item_id").agg(F.max(F.struct("matched", "start", "end")).alias("m")))
     return (good.join(found.select("uid", "doc_id", F.xxhash64("text").alias("version")), "uid")
-            .select("doc_id", "version", F.col("item").alias("item_id"), "m.matched", "m.start", "m.end"))
+            .select("doc_id", "version", "item_id", "m.matched", "m.start", "m.end"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,12 +209,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def query(spark, sf_dir) -> DataFrame:
-    """Per document: whether it leaks, the items, and the words matched."""
+    """Per document: whether it leaks, the items (one without an id as
+    ``null``), and the words matched."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     bench = table(spark, sf_dir, "benchmark")
     found = (leaks(docs, bench).groupBy("doc_id", "version")
              .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("item_id")).alias("i"),
-                  F.max("matched").alias("m")))
+                  F.max("matched").alias("m"))
+             .withColumn("i", F.concat(F.col("i").cast("array<string>"), F.when(
+                 F.col("n") > F.size("i"), F.array(F.lit("null"))).otherwise(F.array().cast("array<string>")))))
     found = materialize(found, "document-leaks").withColumnRenamed("doc_id", "d")
     rows = docs.select("doc_id", F.xxhash64(text_of(F.col("text"))).alias("v"))
     return (rows.join(found, rows.doc_id.eqNullSafe(found.d) & (rows.v == found.version), "left")

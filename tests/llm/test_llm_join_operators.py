@@ -84,6 +84,22 @@ def test_short_items_are_found_with_one_replaced_word(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == exp
 
 
+def test_items_without_an_id_are_searched(spark, tmp_path):
+    words = [f"q{k}" for k in range(20)]
+    items = [(None, " ".join(words)), (None, "one more without id"), (7, " ".join(words[5:])), (7, "another of seven")]
+    rows = [(1, "so " + " ".join(words[:14])), (2, "ANOTHER of seven, one more without id"), (3, "another of seven"),
+            (4, "one more without id " + " ".join(words)), (5, "clean")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id, str(r.item_id)) for r in decontaminate.leaks(frame, bench).collect())
+    assert got == [(1, "None"), (2, "None"), (3, "7"), (4, "7"), (4, "None")]
+    assert [r.doc_id for r in decontaminate.clean(frame, bench).collect()] == [5]
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_items, r.item_ids) for r in decontaminate.query(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, "null"), 2: (1, "null"), 3: (1, "7"), 4: (2, "7,null"), 5: (0, "")}
+
+
 def random_texts(rng, n):
     parts = ["".join(rng.choice("ab é") for _ in range(rng.randrange(40, 260))) for _ in range(6)]
     out = []
