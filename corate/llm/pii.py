@@ -129,9 +129,10 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     found, failed = base_spans(text)
     base = [(k, s, e, True) for k in BASE_KINDS for s, e in found[k]]
     loose = list(failed)
-    if " dot " in text or "dot)" in text or "dot]" in text:
+    low = text.lower()
+    if " dot " in low or "dot)" in low or "dot]" in low:
         loose += [("email", *m.span()) for m in _SPELLED.finditer(text)]
-    if any(w in text for w in _SECRET_WORDS) or any(w in (low := text.lower()) for w in _SECRET_WORDS):
+    if any(w in low for w in _SECRET_WORDS):
         loose += [("secret", *m.span(1)) for m in _SECRET.finditer(text)]
     loose += [("phone", *m.span()) for m in _LOCAL_PHONE.finditer(text)]
     loose += [("ssn", *m.span()) for m in _SSN.finditer(text)]

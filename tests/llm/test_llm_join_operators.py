@@ -311,6 +311,12 @@ def test_base_spans_match_the_plain_patterns():
         assert pii.base_spans(t)[0] == plain_base(t), t
 
 
+def test_spelled_out_emails_are_candidates_in_any_case():
+    for t in ("john at example dot com", "JOHN AT EXAMPLE DOT COM", "john [AT] example [DOT] com",
+              "John (At) Example (Dot) Com"):
+        assert pii.candidates("write: " + t + ", now") == [("email", 7, 7 + len(t), False)], t
+
+
 def test_scanning_is_linear_on_hostile_texts():
     for t in ("a" * 300_000, "1" * 200_000, "@" * 100_000, "a@" * 100_000, "1." * 100_000, "+1 " * 60_000,
               "(" * 100_000, "token=" * 50_000):
