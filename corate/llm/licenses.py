@@ -6,10 +6,13 @@ a template of class L has more than L/2 and at most L shingle positions
 (L a power of two). In class L a text has windows of 2L positions every L
 positions, so each passage of up to L positions lies whole in some window.
 
-Each window gets ``BANDS`` MinHash values, one row per band, and meets the
-templates of its class that share a value in a band. A window holding
-``MIN_CONTAINMENT`` of a template has a Jaccard similarity of at least
-0.75 / 2.5, so all bands miss with a probability below 1e-9. Windows without
+Each window gets MinHash values, one row per band, and meets the templates
+of its class that share a value in a band. The least similarity of a window
+that holds ``MIN_CONTAINMENT`` of a template follows from the template's
+distinct shingles and the 2L of a window without repeats (about 0.18 for a
+template of L/2 + 1 shingles); each class gets as many bands as make all of
+them miss with a probability of at most ``MISS`` for its worst template
+(about 100 for long templates of that kind). Windows without
 any shingle of a template can't contain one and are not signed: that is a
 filter on exact grounds, not a sample. Retrieved pairs are verified by the
 exact share of the template's shingles (as text) in the window.
@@ -25,6 +28,7 @@ null ids together too. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +39,7 @@ from corate.session import materialize
 
 SHINGLE = 5
 MIN_CONTAINMENT = 0.75
-BANDS = 64
+MISS = 1e-9
 
 #: Public license notices (fixed values): (license, text).
 TEMPLATES = (
@@ -83,9 +87,20 @@ def _words(text: Column) -> Column:
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
 
 
-def _signature(shingles: Column) -> Column:
-    """``BANDS`` MinHash values of an array of shingle hashes."""
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+def bands_of(rows) -> dict[int, int]:
+    """The number of bands of each class of ``_template_rows``."""
+    out: dict[int, int] = {}
+    for _, _, size, shingles in rows:
+        n = len(shingles)
+        held = math.ceil(MIN_CONTAINMENT * n)
+        similar = held / (n + 2 * size - held)
+        out[size] = max(out.get(size, 1), math.ceil(math.log(MISS) / math.log1p(-similar)))
+    return out
+
+
+def _signature(shingles: Column, bands: Column) -> Column:
+    """``bands`` MinHash values of an array of shingle hashes."""
+    return F.transform(F.sequence(F.lit(0), bands - 1),
                        lambda b: F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, b))))
 
 
@@ -96,8 +111,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     rows = _template_rows(templates)
     # as many rows as the caller's templates: broadcast by proven size
     table_ = spark.createDataFrame(rows, "template int, license string, class int, shingles array<string>")
+    count = F.create_map(*[F.lit(x) for kv in bands_of(rows).items() for x in kv])[F.col("class")]
     hashed = F.transform("shingles", lambda s: F.xxhash64(s))
-    bands = table_.select("template", "class", F.posexplode(_signature(hashed)).alias("band", "value"))
+    bands = table_.select("template", "class", F.posexplode(_signature(hashed, count)).alias("band", "value"))
     known = sorted({h for (hs,) in table_.select(hashed).collect() for h in hs})  # the caller's templates only
     classes = sorted({r[2] for r in rows})
 
@@ -129,7 +145,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         F.monotonically_increasing_id().alias("n"), "doc_id", "class", "window",
         F.array_distinct("s").alias("s")), "license-windows")
     signed = found.select("n", "class", F.posexplode(let(
-        F.transform("s", lambda s: F.xxhash64(s)), _signature)).alias("band", "value"))
+        F.transform("s", lambda s: F.xxhash64(s)), lambda s: _signature(s, count))).alias("band", "value"))
     pairs = (signed.join(F.broadcast(bands), ["class", "band", "value"])
              .select("n", "template").distinct())
     share = F.size(F.array_intersect("s", "shingles")) / F.size("shingles")

@@ -153,6 +153,17 @@ def test_license_scan_matches_exact_containment(spark):
     assert licenses.scan(docs_frame(spark, [])).count() == 0
 
 
+def test_license_bands_hold_for_the_worst_templates():
+    words = [f"w{i}" for i in range(200)]
+    made = [("x", " ".join(words[:n + 4])) for n in (1, 3, 5, 9, 17, 33, 64)]
+    for templates in (made, licenses.TEMPLATES):
+        rows = licenses._template_rows(templates)
+        bands = licenses.bands_of(rows)
+        for _, _, size, shingles in rows:
+            held = -(-3 * len(shingles) // 4)  # in a window of 2 * size distinct shingles
+            assert (1 - held / (len(shingles) + 2 * size - held)) ** bands[size] <= 1e-9
+
+
 def naive_targets(sizes):
     """Water filling by rounds, on {source: size} with None last."""
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
