@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, merkle, mixing, pii, quality, site_tree, suffix_dedup
+from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, merkle, mixing, pii, quality, site_tree, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": licenses.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_jaccard_join": jaccard_join.query,
+    "op11_url_filter": url_filter.query,
     "op13_merkle_manifest": merkle.query,
 }
 
@@ -28,5 +29,6 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.SQL,
     "op7_mixing": mixing.SQL,
     "op8_license_scan": licenses.SQL,
+    "op11_url_filter": url_filter.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }
