@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, merkle, mixing, pii, quality, site_tree, suffix_dedup, url_filter
+from corate.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, merkle, mixing, pii, quality, site_tree, suffix_dedup, url_filter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_jaccard_join": jaccard_join.query,
     "op11_url_filter": url_filter.query,
+    "op12_embedding_whitening": whitening.query,
     "op13_merkle_manifest": merkle.query,
 }
 
