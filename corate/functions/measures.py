@@ -36,23 +36,6 @@ def pearson_from_sums(n: Column, dot: Column, s1: Column, s2: Column,
     return F.when(div > 0, nonneg_zero((n * dot - s1 * s2) / div))
 
 
-def exact_sums(x: Column, name: str) -> list[Column]:
-    """Aggregates whose :func:`exact_total` is the sum of the longs ``x``.
-
-    Sums of doubles depend on their order beyond 2^53. The high and the low
-    part (20 bits) of each value are summed as longs instead, which is exact
-    for 4e5 values of the largest size and, for products of 1e-6 fixed-point
-    deviations (below 2^44), for 5e11 of them.
-    """
-    return [F.sum(F.shiftright(x, 20)).alias(f"{name}_hi"),
-            F.sum(x.bitwiseAND(F.lit((1 << 20) - 1))).alias(f"{name}_lo")]
-
-
-def exact_total(name: str) -> Column:
-    """The total of :func:`exact_sums` as a double, rounded once."""
-    return F.col(f"{name}_hi").cast("double") * F.lit(float(1 << 20)) + F.col(f"{name}_lo").cast("double")
-
-
 def bucket_jaccard(n: Column, c1_max: Column, c2_max: Column) -> Column:
     """Rating-bucket Jaccard (G6): n / (max c1 + max c2 - n), NULL if <= 0."""
     div = (c1_max + c2_max - n).cast("double")

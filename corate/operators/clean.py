@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corate import ITEM, RATING, USER
 from corate.functions.measures import fixed_point
+from corate.operators.exact import sums_of
 from corate.session import materialize
 
 _POLICIES = ("max", "min", "avg", "last")
@@ -37,7 +38,9 @@ def dedup_ratings(df: DataFrame, policy: str = "max", user: str = USER,
     elif policy == "min":
         out = g.agg(F.min(rating).alias(rating))
     elif policy == "avg":
-        out = g.agg(F.avg(rating).alias(rating))
+        sums = sums_of(df, rating)
+        out = g.agg(*sums.aggregates(F.col(rating), "_sum"), F.count(rating).alias("_n"))
+        out = out.withColumn(rating, sums.total("_sum") / F.col("_n"))
     else:
         if order_col is None:
             raise ValueError("policy 'last' needs order_col")
@@ -81,12 +84,14 @@ def mean_centred(df: DataFrame, by: str, rating: str = RATING,
                  out: str = "centred", scale: float | None = None) -> DataFrame:
     """rating - mean(rating of the same ``by`` key) (P8 by user, P9 by item).
 
-    The mean is sum/count of the key. With ``scale`` the deviation is
+    The mean is sum/count of the key; the sum does not depend on the order
+    of rows, also for fractional ratings. With ``scale`` the deviation is
     returned as a fixed-point long, ``round_half_up(dev * scale)``, whose
     sums are exact (used by adjusted cosine, D5).
     """
-    stats = materialize(df.groupBy(by).agg(F.sum(rating).alias("_s"), F.count(F.lit(1)).alias("_n")),
-                        "key-means")
+    sums = sums_of(df, rating)
+    stats = df.groupBy(by).agg(*sums.aggregates(F.col(rating), "_sum"), F.count(F.lit(1)).alias("_n"))
+    stats = materialize(stats.select(by, sums.total("_sum").alias("_s"), "_n"), "key-means")
     dev = F.col(rating) - F.col("_s") / F.col("_n")
     j = df.join(stats, by)
     val = fixed_point(dev, scale) if scale else dev

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.session import materialize
@@ -140,23 +140,52 @@ def fanout_join(small: DataFrame, big: DataFrame, key: str, small_split: str,
 
 
 def free_ranks(taken: DataFrame, owners: DataFrame, owner: str, k: int, total: int,
-               rank: str = "_r") -> DataFrame:
+               rank: str = "_r", block: int | None = None) -> DataFrame:
     """The ``k`` smallest ranks of 0..total-1 that ``taken(owner, rank)``
     does not hold, for each of ``owners``: ``(owner, rank)``.
 
-    The free ranks lie in the gaps between an owner's taken ranks; the gap
-    before the j-th taken rank r (from 1) begins after the one before and
-    has ``begin - (j - 1)`` free ranks below it. Only gaps that can hold one
-    of the first ``k`` are expanded: ``k`` rows per owner in all.
+    Ranks are cut into blocks (``block`` ranks each, by default the root of
+    ``total``, at least ``k``). Counts of the taken ranks per owner and block,
+    added up in order, tell which blocks hold one of the first ``k`` free
+    ranks: at most ``k`` blocks, since a block without any taken rank (found
+    in the gaps between counted ones) has room for all of them. Only the taken
+    ranks of those blocks are sorted, block by block, so no window holds more
+    than the blocks of an owner or the ranks of a block.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(owner).orderBy(rank)
-    rows = taken.select(owner, F.col(rank).cast("bigint").alias(rank)).unionByName(
-        owners.select(owner).distinct().withColumn(rank, F.lit(total).cast("bigint")))
-    begin = F.coalesce(F.lag(rank).over(w), F.lit(-1).cast("bigint")) + 1
-    gaps = (rows.withColumn("__lo", begin).withColumn("__j", F.row_number().over(w))
-            .withColumn("__room", F.least(F.col(rank) - F.col("__lo"),
-                                          F.lit(k) - (F.col("__lo") - (F.col("__j") - 1))))
-            .where("__room > 0"))
-    return gaps.select(owner, F.explode(F.sequence("__lo", F.col("__lo") + F.col("__room") - 1)).alias(rank))
+    block = block or max(k, math.isqrt(max(total - 1, 0)) + 1)
+    taken = taken.select(owner, F.col(rank).cast("bigint").alias("__t")).withColumn("__b", F.floor(F.col("__t") / block))
+    needed = _blocks_with_room(taken, owners, owner, k, total, block)
+    first = F.col("__b") * block
+    last = F.least(first + block, F.lit(total).cast("bigint"))
+    rows = (taken.join(needed, [owner, "__b"], "left_semi").select(owner, "__b", "__t")
+            .unionByName(needed.select(owner, "__b", last.alias("__t"))))
+    w = Window.partitionBy(owner, "__b").orderBy("__t")
+    begin = F.coalesce(F.lag("__t").over(w) + 1, first)
+    # free ranks of the block before the gap: ranks before it less those taken
+    gaps = (rows.withColumn("__lo", begin).withColumn("__before", begin - first - F.row_number().over(w) + 1)
+            .join(needed, [owner, "__b"])
+            .withColumn("__n", F.least(F.col("__t") - F.col("__lo"), F.col("__want") - F.col("__before")))
+            .where("__n > 0"))
+    return gaps.select(owner, F.explode(F.sequence("__lo", F.col("__lo") + F.col("__n") - 1)).alias(rank))
+
+
+def _blocks_with_room(taken: DataFrame, owners: DataFrame, owner: str, k: int, total: int, block: int) -> DataFrame:
+    """``(owner, __b, __want)``: the blocks with the first ``k`` free ranks
+    and how many of them may come from each. Written, it is read twice."""
+    blocks = -(-total // block)
+    size = lambda b: F.least(F.lit(block), F.lit(total) - b * block)
+    counts = taken.groupBy(owner, "__b").agg(F.count(F.lit(1)).alias("__c")).withColumn("__free", size(F.col("__b")) - F.col("__c"))
+    end = owners.select(owner).distinct().select(owner, F.lit(blocks).cast("bigint").alias("__b"), F.lit(0).cast("bigint").alias("__free"))
+    w = Window.partitionBy(owner).orderBy("__b")
+    earlier = F.coalesce(F.sum("__free").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = (counts.select(owner, "__b", "__free").unionByName(end)
+            .withColumn("__previous", F.coalesce(F.lag("__b").over(w), F.lit(-1).cast("bigint")))
+            .withColumn("__earlier", earlier)
+            # blocks without a taken rank before this one, and before the previous one
+            .withColumn("__empty", F.col("__b") - (F.row_number().over(w) - 1))
+            .withColumn("__gap", F.col("__b") - F.col("__previous") - 1))
+    own = rows.where("__free > 0").select(
+        owner, "__b", (F.lit(k) - F.col("__earlier") - F.col("__empty") * block).alias("__want"))
+    empty = rows.where("__gap > 0 AND __empty = __gap").select(
+        owner, (F.col("__previous") + 1).alias("__b"), (F.lit(k) - F.col("__earlier")).alias("__want"))
+    return materialize(own.unionByName(empty).where("__want > 0"), "blocks-with-room")

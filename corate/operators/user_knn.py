@@ -22,7 +22,8 @@ Users sharing no item with the query still have an L1 distance
 the first k of them in (S_v, user) order can enter a list;
 :func:`_free_users` finds exactly those in the gaps between the ranks of the
 users that do overlap. The agreement of such users is 0 and they compete by
-the lowest user id; ``fill=False`` leaves them out.
+the lowest user id; ``fill=False`` leaves them out. They are looked up only
+for query users with fewer than k similar users.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from corate import ITEM, RATING, USER
 from corate.functions.measures import agreement, l1_from_overlap
+from corate.operators.exact import Sums, sums_of
 from corate.operators.indexing import dense_index
 from corate.operators.pairs import DEFAULT_BLOCK_ROWS, DEFAULT_BROADCAST_BYTES, fanout_join, free_ranks
 from corate.operators.topk import top_k
@@ -41,10 +43,11 @@ QUERY = "query_user"
 MAX_RATING = 5.0  # top of the rating scale (fixed by the reference)
 
 
-def user_totals(ratings: DataFrame, user: str = USER, rating: str = RATING) -> DataFrame:
+def user_totals(ratings: DataFrame, user: str = USER, rating: str = RATING,
+                sums: Sums = Sums()) -> DataFrame:
     """``user_id, n, s_abs`` per user."""
-    return ratings.groupBy(user).agg(F.count(F.lit(1)).alias("n"),
-                                     F.sum(F.abs(F.col(rating))).alias("s_abs"))
+    tot = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("n"), *sums.aggregates(F.abs(F.col(rating)), "_s"))
+    return tot.select(user, "n", sums.total("_s").alias("s_abs"))
 
 
 def user_vectors(ratings: DataFrame, query_users: DataFrame, user: str = USER) -> DataFrame:
@@ -55,9 +58,11 @@ def user_vectors(ratings: DataFrame, query_users: DataFrame, user: str = USER) -
 def user_overlap(ratings: DataFrame, query_users: DataFrame, user: str = USER,
                  item: str = ITEM, rating: str = RATING,
                  block_rows: int = DEFAULT_BLOCK_ROWS,
-                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                 sums: Sums = Sums()) -> DataFrame:
     """``query_user, user_id, common, gain, agree`` for every other user
-    sharing at least one item with a query user (self excluded, P4)."""
+    sharing at least one item with a query user (self excluded, P4).
+    ``sums`` (:func:`sums_of` the ratings) keeps fractional ratings exact."""
     q = user_vectors(ratings, query_users, user).select(
         F.col(user).alias(QUERY), F.col(item), F.col(rating).alias("_a"))
     o = ratings.select(F.col(user), F.col(item), F.col(rating).alias("_b"))
@@ -65,10 +70,22 @@ def user_overlap(ratings: DataFrame, query_users: DataFrame, user: str = USER,
     j = j.where(F.col(QUERY) != F.col(user))
     a, b = F.col("_a"), F.col("_b")
     d = F.abs(a - b)
-    return j.groupBy(QUERY, user).agg(
+    met = j.groupBy(QUERY, user).agg(
         F.count(F.lit(1)).alias("common"),
-        F.sum(F.abs(a) + F.abs(b) - d).alias("gain"),
-        F.sum(F.lit(MAX_RATING) - d).alias("agree"))
+        *sums.aggregates(F.abs(a) + F.abs(b) - d, "_gain"),
+        *sums.aggregates(F.lit(MAX_RATING) - d, "_agree"))
+    return met.select(QUERY, user, "common", sums.total("_gain").alias("gain"), sums.total("_agree").alias("agree"))
+
+
+def _scored_inputs(ratings: DataFrame, query_users: DataFrame, user: str, item: str, rating: str,
+                   block_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per-user totals, the query users that have ratings (others have no
+    list), and their overlaps."""
+    sums = sums_of(ratings, rating)
+    tot = materialize(user_totals(ratings, user, rating, sums), "user-totals")
+    query_users = materialize(query_users.select(user).distinct().join(tot, user, "left_semi"), "query-users")
+    overlap = user_overlap(ratings, query_users, user, item, rating, block_rows, sums=sums)
+    return tot, query_users, materialize(overlap, "user-overlap")
 
 
 def _free_users(overlap: DataFrame, query_users: DataFrame, ranked: DataFrame,
@@ -89,9 +106,7 @@ def l1_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100, user: str =
            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """k nearest users by L1 distance (G7, W2): ``query_user, user_id,
     distance, rank``; order distance asc, user id asc."""
-    tot = materialize(user_totals(ratings, user, rating), "user-totals")
-    query_users = query_users.join(tot, user, "left_semi")  # users without ratings have no list
-    ov = materialize(user_overlap(ratings, query_users, user, item, rating, block_rows), "user-overlap")
+    tot, query_users, ov = _scored_inputs(ratings, query_users, user, item, rating, block_rows)
     qt = tot.select(F.col(user).alias(QUERY), F.col("s_abs").alias("_sq"))
     vt = tot.select(user, F.col("s_abs").alias("_sv"))
     scored = (ov.join(qt, QUERY).join(vt, user)
@@ -114,17 +129,27 @@ def agreement_knn(ratings: DataFrame, query_users: DataFrame, k: int = 100,
     user_id, similarity, rank``; order similarity desc, user id asc. Users
     sharing no item score 0 and fill up short lists, as all users are scored
     in the reference; ``fill=False`` lists overlapping users only."""
-    tot = materialize(user_totals(ratings, user, rating), "user-totals")
-    query_users = query_users.join(tot, user, "left_semi")  # users without ratings have no list
-    ov = materialize(user_overlap(ratings, query_users, user, item, rating, block_rows), "user-overlap")
+    tot, query_users, ov = _scored_inputs(ratings, query_users, user, item, rating, block_rows)
     qt = tot.select(F.col(user).alias(QUERY), F.col("n").alias("_nq"))
     vt = tot.select(user, F.col("n").alias("_nv"))
     scored = (ov.join(qt, QUERY).join(vt, user)
               .select(QUERY, user, agreement(F.col("agree"), F.col("_nq"), F.col("_nv"),
                                              F.col("common")).alias("similarity")))
-    if fill:
-        ranked = dense_index(tot, user, id_col="_r").select("_r", user)
-        zero = (_free_users(ov, query_users, ranked, k, user)
-                .select(QUERY, user, F.lit(0.0).alias("similarity")))
-        scored = scored.unionByName(zero)
-    return top_k(scored, QUERY, [F.col("similarity").desc(), F.col(user).asc()], k)
+    best = [F.col("similarity").desc(), F.col(user).asc()]
+    top = top_k(scored, QUERY, best, k)
+    if not fill:
+        return top
+    # a user without common items can enter only a list with fewer than k
+    # positive similarities: ``top`` holds all positive ones of such a list
+    top = materialize(top, f"agreement-top{k}")
+    pos = top.groupBy(QUERY).agg(F.count_if(F.col("similarity") > 0).alias("_pos"))
+    short = materialize(query_users.withColumnRenamed(user, QUERY).join(pos, QUERY, "left")
+                        .where(F.coalesce("_pos", F.lit(0)) < k).select(QUERY), "short-lists")
+    if short.isEmpty():
+        return top
+    mine = scored.join(short, QUERY, "left_semi")
+    ranked = dense_index(tot, user, id_col="_r").select("_r", user)
+    zero = (_free_users(ov.join(short, QUERY, "left_semi"), short.withColumnRenamed(QUERY, user), ranked, k, user)
+            .select(QUERY, user, F.lit(0.0).alias("similarity")))
+    refilled = top_k(mine.unionByName(zero), QUERY, best, k)
+    return top.join(short, QUERY, "left_anti").unionByName(refilled)

@@ -1,5 +1,6 @@
 """Operators against brute force on small random inputs; invariants."""
 
+import math
 import random
 
 import pytest
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 import brute
 from conftest import SPARSE, ratings_df
 from corate.operators import clean, evaluate, indexing
-from corate.operators.item_similarity import item_neighbours, item_similarity
+from corate.operators.exact import Sums, fits_long, sums_of
+from corate.operators.item_similarity import (Rated, item_neighbours, item_pair_sums, item_similarity,
+                                              item_stats)
 from corate.operators.pair_similarity import pair_similarity
 from corate.operators.pairs import blocked_join, free_ranks, self_pairs
 from corate.operators.recommend import item_based_recommend, predict_ratings, vote_recommend
@@ -295,6 +298,105 @@ def test_free_ranks(spark):
         {o: [r for r in range(total) if r not in s][:k] for o, s in taken.items() if len(s) < total}
 
 
+@pytest.mark.parametrize("block", [None, 6, 7, 30, 100])
+def test_free_ranks_by_blocks(spark, block):
+    """Full, empty, half-full and last blocks, for any block of at least k."""
+    rnd = random.Random(8)
+    total, k = 95, 6
+    taken = {o: set(rnd.sample(range(total), n)) for o, n in enumerate([0, 1, 30, 60, 90, 94, 95])}
+    taken[7] = set(range(60))
+    taken[8] = set(range(0, 95, 2))
+    taken[9] = set(range(total)) - {0, 94}
+    taken[10] = set(range(6, 12)) | set(range(20, 95))
+    rows = spark.createDataFrame([(o, r) for o, s in taken.items() for r in s], "o long, _r long")
+    owners = spark.createDataFrame([(o,) for o in taken], "o long")
+    got = {}
+    for o, r in free_ranks(rows, owners, "o", k, total, block=block).collect():
+        got.setdefault(o, []).append(r)
+    assert {o: sorted(x) for o, x in got.items()} == \
+        {o: [r for r in range(total) if r not in s][:k] for o, s in taken.items() if len(s) < total}
+
+
+def test_fractional_ratings_give_one_bit_pattern(spark):
+    """Averages and ratings such as 1.1, whatever the order of the rows."""
+    rnd = random.Random(3)
+    raw = [(u, 100 + i, rnd.choice([1.1, 2.3, 4.7, 5.0, 1e-9, 3.3])) for u in range(400) for i in range(6) for _ in range(3)]
+    seen = {}
+    for n in (1, 2, 3, 5, 8, 13):
+        r = ratings_df(spark, raw).repartition(n, F.rand(n))
+        avg = materialize(clean.dedup_ratings(r, "avg").repartition(n, F.rand(n)), "avg")
+        q = avg.select("user_id").where("user_id < 3").distinct()
+        for name, df in {
+                "avg": avg, "means": clean.mean_centred(avg, "user_id"), "stats": item_stats(avg),
+                "cosine": item_similarity(avg), "adjusted": item_similarity(avg, "adjusted_cosine"),
+                "pearson": item_similarity(avg, "pearson"), "l1": l1_knn(avg, q, 5),
+                "agreement": agreement_knn(avg, q, 5)}.items():
+            seen.setdefault(name, set()).add(str(sorted(map(repr, df.collect()))))
+    assert {k: len(v) for k, v in seen.items()} == dict.fromkeys(seen, 1)
+
+
+def test_limb_sums_are_correctly_rounded(spark):
+    rnd = random.Random(5)
+    values = [rnd.choice([-1, 1]) * rnd.random() * 10.0 ** rnd.randrange(-6, 6) for _ in range(5000)] + [1.1] * 5000
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    sums = sums_of(df, "v")
+    assert not sums.plain
+    got = df.agg(*sums.aggregates(F.col("v"), "s"), *sums.aggregates(F.col("v") * F.col("v"), "q", 2)) \
+        .select(sums.total("s"), sums.total("q", 2)).first()
+    assert got[0] == pytest.approx(math.fsum(values), rel=2e-16, abs=0)
+    assert got[1] == pytest.approx(math.fsum(v * v for v in values), rel=2e-16, abs=0)
+    assert sums_of(df.where("v < -1e9"), "v").plain
+    assert sums_of(spark.createDataFrame([(0.25,), (-5.0,)], "v double"), "v").plain
+
+
+def test_products_beyond_a_long_are_summed_exactly(spark):
+    """x = 4e9 per rating, the value of an item with tens of millions of
+    raters: the sum of products exceeds a long."""
+    big, n = 4_000_000_000, 3000
+    rows = spark.range(n).select(F.col("id").alias("user_id"), F.explode(F.array(*[
+        F.struct(F.lit(i).cast("long").alias("item_id"), (F.lit(big) + F.col("id") * i).cast("long").alias("x"),
+                 F.lit(1.0).alias("d")) for i in (1, 2)])).alias("r")).select("user_id", "r.*")
+    want = sum((big + u) * (big + 2 * u) for u in range(n))
+    assert want > 1 << 63
+    for measure, scale in (("pearson", 4096.0), ("adjusted_cosine", 1.0)):
+        for parts in (1, 5):
+            rated = Rated(materialize(rows.repartition(parts, F.rand(parts)), "rated"), Sums(), fits_long(big + 2 * n, n))
+            got = item_pair_sums(rated, measure).collect()
+            assert [(r.item_a, r.item_b, r.num) for r in got] == [(1, 2, float(want) / scale)]
+
+
+def test_narrow_and_wide_products_agree(spark, monkeypatch):
+    r = ratings_df(spark, random_triples(11))
+    for measure in ("pearson", "adjusted_cosine"):
+        narrow = sorted(map(tuple, item_similarity(r, measure).collect()))
+        with monkeypatch.context() as m:
+            m.setattr("corate.operators.item_similarity.fits_long", lambda *a: False)
+            assert sorted(map(tuple, item_similarity(r, measure).collect())) == narrow
+
+
+def test_agreement_fill_only_where_lists_are_short(spark):
+    """Lists of users with many, few and no similar users, brute force."""
+    data = random_triples(12, users=25, items=40, per_user=(1, 4), hot_user=True)
+    data += [(90, 999, 3)]  # shares no item with anyone
+    k = 6
+    r = ratings_df(spark, data)
+    q = spark.createDataFrame([(0,), (1,), (2,), (90,), (777,)], "user_id long")
+    got = {}
+    for x in agreement_knn(r, q, k).collect():
+        got.setdefault(x["query_user"], []).append((x["rank"], x["user_id"], x["similarity"]))
+    vec = {}
+    for u, i, v in data:
+        vec.setdefault(u, {})[i] = v
+    for u in (0, 1, 2, 90):
+        scored = []
+        for o in vec:
+            if o != u:
+                common = vec[u].keys() & vec[o].keys()
+                scored.append((-sum(5 - abs(vec[u][i] - vec[o][i]) for i in common) / len(vec[u].keys() | vec[o].keys()), o))
+        assert [x[1] for x in sorted(got[u])] == [o for _, o in sorted(scored)[:k]]
+    assert set(got) == {0, 1, 2, 90}
+
+
 def test_adjusted_cosine_does_not_depend_on_partitioning(spark):
     """Two items with 20,000 common raters: one bit pattern for any order."""
     rows = spark.range(20_000).select(F.col("id").alias("user_id"), F.explode(F.array(*[F.struct(
