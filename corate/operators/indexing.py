@@ -56,6 +56,19 @@ def build_index(df: DataFrame, key: str, out_key: str = "key", id_col: str = "id
         F.col(key).cast("string").alias(out_key), F.col(id_col))
 
 
+def extend_index(index: DataFrame, df: DataFrame, key: str, index_key: str = "key",
+                 id_col: str = "id") -> DataFrame:
+    """``index`` with the values of ``key`` it lacks, numbered in key order
+    after its largest id. Every old key keeps its id, so triples encoded with
+    the old index stay valid; extending again with the same keys adds none."""
+    old = index.select(F.col(index_key).cast("string").alias(index_key), F.col(id_col).cast("bigint").alias(id_col))
+    new = df.select(F.col(key).cast("string").alias(index_key)).dropna().distinct().join(old, index_key, "left_anti")
+    numbered = dense_index(new, index_key, id_col=id_col)
+    start = old.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_start"))  # one row
+    added = numbered.join(F.broadcast(start)).select(index_key, (F.col(id_col) + F.col("_start")).alias(id_col))
+    return old.unionByName(added)
+
+
 def encode(df: DataFrame, index: DataFrame, col: str, out: str,
            index_key: str = "key", index_id: str = "id", keep_unknown: bool = False) -> DataFrame:
     """Replace the name column ``col`` by its id ``out``.

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corate import ITEM, RATING, USER
@@ -26,6 +26,7 @@ from corate.operators.item_similarity import item_neighbours, item_stats
 from corate.operators.recommend import item_based_recommend, vote_recommend
 from corate.operators.split import active_users, holdout, holdout_users
 from corate.operators.user_knn import QUERY, agreement_knn, l1_knn, user_vectors
+from corate.sinks.stores import read_bucketed, write_bucketed
 from corate.sinks.text import index_lines, recommendation_lines, triple_lines
 from corate.sources.json import parse_reviews
 from corate.sources.tables import (
@@ -33,8 +34,8 @@ from corate.sources.tables import (
 )
 from corate.session import materialize, scratch_path
 from corate.sinks.text import write_lines, write_parquet
-from corate.sources.text import (parse_index, parse_recommendation_lines, parse_triples, read_neighbours,
-                                 read_recommendation_lines, read_triples, triple_line_counts)
+from corate.sources.text import (parse_index, parse_recommendation_lines, parse_triples, read_index,
+                                 read_recommendation_lines, read_triples, read_user_list, triple_line_counts)
 
 # Fixed values of the reference jobs.
 K_ITEM = 100          # neighbours kept per item
@@ -705,6 +706,68 @@ def q_triple_line_counts(spark: SparkSession, sf: str) -> DataFrame:
     return triple_line_counts(lines)
 
 
+@register("triples_observed", f"""WITH {RATINGS}
+SELECT count(*) AS n_lines, count(*) FILTER (rating IN (1, 2, 4)) AS n_parsed,
+       count(*) FILTER (rating = 3) AS n_bad_fields, count(*) FILTER (rating = 5) AS n_bad_numbers,
+       count(DISTINCT item_id) FILTER (rating IN (1, 2, 4)) AS n_items
+FROM ratings""")
+def q_triples_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The reader's counts of good and bad lines, taken while it reads."""
+    line = lambda fmt: F.format_string(fmt, USER, ITEM)
+    lines = order_ratings(spark, sf).select(
+        F.when(F.col(RATING) == 3, line("%d %d")).when(F.col(RATING) == 5, line("%d %d five"))
+        .otherwise(line("%d\t%d 1.5 more")).alias("value"))
+    seen = Observation("triple lines")
+    triples = materialize(parse_triples(lines, "whitespace", observation=seen), "observed-triples")
+    counts = [F.lit(seen.get[c]).cast("bigint").alias(c) for c in ("n_lines", "n_parsed", "n_bad_fields", "n_bad_numbers")]
+    return triples.agg(F.count_distinct(ITEM).alias("n_items")).select(*counts, "n_items")
+
+
+@register("growing_index", f"""WITH {NAMED},
+first AS (SELECT DISTINCT reviewerID AS key FROM named WHERE overall = 5),
+old AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS id FROM first),
+new AS (SELECT DISTINCT reviewerID AS key FROM named WHERE reviewerID NOT IN (SELECT key FROM first))
+SELECT key, id FROM old
+UNION ALL SELECT key, row_number() OVER (ORDER BY key) - 1 + (SELECT count(*) FROM old) AS id FROM new""")
+def q_growing_index(spark: SparkSession, sf: str) -> DataFrame:
+    """An index file of the users with a 5, extended by all other users."""
+    named = materialize(named_order_ratings(spark, sf), "named-ratings")
+    path = scratch_path(spark, "index")
+    write_lines(index_lines(indexing.build_index(named.where("overall = 5"), "reviewerID")), path)
+    return indexing.extend_index(materialize(read_index(spark, path), "index"), named, "reviewerID")
+
+
+@register("user_list_vectors", f"""WITH {RATINGS}, {ACTIVE}
+SELECT user_id, item_id, rating FROM ratings WHERE user_id IN (SELECT user_id FROM active)""")
+def q_user_list_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of user names, read back and looked up."""
+    r = _ratings(spark, sf)
+    cust = load_table(spark, sf, "customer").select(F.col("c_name").alias("key"), F.col("c_custkey").alias("id"))
+    path = scratch_path(spark, "users")
+    write_lines(indexing.decode(_active(r), cust, USER, "value"), path)
+    users = indexing.encode(read_user_list(spark, path).withColumnRenamed("key", "name"), cust, "name", USER)
+    return user_vectors(r, users)
+
+
+@register("stored_pair_similarity", f"""WITH {PAIRS}
+SELECT item_a, item_b, n, {PEARSON_SQL} AS pearson, {COSINE_SQL} AS cosine,
+       {COSINE_UNROOTED_SQL} AS cosine_unrooted, {JACCARD_SQL} AS jaccard
+FROM agg""")
+def q_stored_pair_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """The three-way similarities from their store (K4)."""
+    path = scratch_path(spark, "pair-similarity")
+    write_parquet(ps.pair_similarity(_ratings(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@register("stored_training_set", f"WITH {RATINGS}, {SPLIT} SELECT user_id, item_id, rating FROM train")
+def q_stored_training_set(spark: SparkSession, sf: str) -> DataFrame:
+    """The training set from its store (K7)."""
+    path = scratch_path(spark, "train")
+    write_parquet(_split(_ratings(spark, sf))[1], path)
+    return spark.read.parquet(path)
+
+
 @register("encode_with_index_lines", f"""WITH {RATINGS}
 SELECT c_custkey AS user_id, item_id, rating FROM ratings JOIN customer ON user_id = c_custkey
 WHERE c_acctbal >= 0""")
@@ -736,8 +799,9 @@ def q_stored_neighbours_predict(spark: SparkSession, sf: str) -> DataFrame:
     r = _ratings(spark, sf)
     _, train = _split(r)
     path = scratch_path(spark, "neighbours")
-    write_parquet(item_neighbours(train, "cosine", k=K_ITEM, fill=True), path)
-    return item_based_recommend(train.join(_active(r), USER, "left_semi"), read_neighbours(spark, path), N_PREDICT)
+    write_bucketed(item_neighbours(train, "cosine", k=K_ITEM, fill=True), path, ITEM)
+    history = train.join(_active(r), USER, "left_semi")
+    return item_based_recommend(history, read_bucketed(spark, path, ITEM), N_PREDICT, stored=True)
 
 
 @register("eval_jaccard_knn_files", f"""WITH {RATINGS}, {SPLIT},

@@ -12,8 +12,10 @@ hard-wired here.
 from __future__ import annotations
 
 import argparse
+import json
+import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corate import ITEM, RATING, USER
@@ -26,6 +28,7 @@ from corate.operators.split import active_users, holdout, holdout_users
 from corate.operators.user_knn import QUERY, agreement_knn, l1_knn
 from corate.functions.parsing import finite
 from corate.session import DEFAULT_CONF, discard_run, ensure_checkpoint_dir, materialize
+from corate.sinks.stores import read_bucketed, write_bucketed
 from corate.sinks.text import index_lines, recommendation_lines, triple_lines, write_lines, \
     write_parquet
 from corate.sources.json import read_reviews
@@ -36,21 +39,34 @@ from corate.sources.text import (read_index, read_neighbours, read_recommendatio
 def load_ratings(spark: SparkSession, path: str, fmt: str = "auto",
                  mode: str = "whitespace") -> DataFrame:
     """Ratings from Parquet or triple text, finite ones, one row per (user,
-    item); written once, since every job reads them several times."""
+    item); written once, since every job reads them several times. Counts of
+    good and bad lines come from that one scan and are reported."""
+    seen = Observation("ratings")
     if fmt == "parquet" or (fmt == "auto" and path.rstrip("/").endswith(".parquet")):
         df = spark.read.parquet(path).select(USER, ITEM, finite(F.col(RATING).cast("double")).alias(RATING))
-        df = df.dropna()
+        known = F.col(USER).isNotNull() & F.col(ITEM).isNotNull() & F.col(RATING).isNotNull()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(known).alias("n_parsed")).dropna()
     else:
-        df = read_triples(spark, path, mode=mode)
-    return materialize(dedup_ratings(df), "ratings")
+        df = read_triples(spark, path, mode=mode, observation=seen)
+    ratings = materialize(dedup_ratings(df), "ratings")
+    report(path, seen.get)
+    return ratings
+
+
+def report(path: str, counts: dict) -> None:
+    """One JSON line on standard error: a read input and its counts."""
+    print(json.dumps({"input": path, **counts}), file=sys.stderr)
 
 
 def etl(spark, a):
     """JSON reviews -> user/item index files + encoded triples."""
     # parsed once: read by both index builds and the encoding
-    reviews = materialize(read_reviews(spark, a.input), "reviews")
-    ui = indexing.build_index(reviews, "reviewerID")
-    ii = indexing.build_index(reviews, "asin")
+    seen = Observation("reviews")
+    reviews = materialize(read_reviews(spark, a.input, seen), "reviews")
+    report(a.input, seen.get)
+    # an earlier index keeps its ids, new keys follow
+    ui = _index(spark, reviews, "reviewerID", a.user_index)
+    ii = _index(spark, reviews, "asin", a.item_index)
     enc = indexing.encode(indexing.encode(reviews, ui, "reviewerID", USER), ii, "asin", ITEM)
     enc = materialize(enc.select(USER, ITEM, F.col("overall").alias(RATING)), "encoded")
     write_lines(index_lines(ui), f"{a.output}/user_index")
@@ -59,10 +75,20 @@ def etl(spark, a):
     write_parquet(enc, f"{a.output}/ratings.parquet")
 
 
+def _index(spark, reviews, key, path):
+    if not path:
+        return indexing.build_index(reviews, key)
+    return materialize(indexing.extend_index(materialize(read_index(spark, path), "old-index"), reviews, key), "index")
+
+
 def item_neighbours_job(spark, a):
     """Top-k neighbour lists per item."""
     r = load_ratings(spark, a.input, a.format)
-    write_parquet(item_neighbours(r, a.measure, k=a.k, fill=not a.sparse), a.output)
+    lists = item_neighbours(r, a.measure, k=a.k, fill=not a.sparse)
+    if a.buckets:
+        write_bucketed(lists, a.output, ITEM, a.buckets)
+    else:
+        write_parquet(lists, a.output)
 
 
 def pair_similarity_job(spark, a):
@@ -103,14 +129,22 @@ def evaluate_item(spark, a):
     test, train = (materialize(x, "split") for x in holdout(r, test_users, a.k))
     history = train.join(test_users, USER, "left_semi")
     if a.stored:  # lists written by item-neighbours, as the reference reads them
-        nb = read_neighbours(spark, a.stored)
+        nb = read_bucketed(spark, a.stored, ITEM, a.buckets) if a.buckets else read_neighbours(spark, a.stored)
     else:
         nb = item_neighbours(train, a.measure, k=a.neighbours, fill=not a.sparse, items=history)
-    top = item_based_recommend(history, nb, a.n)
+    top = item_based_recommend(history, nb, a.n, stored=bool(a.stored and a.buckets))
     per = (evaluate.euclidean_per_user(top, test) if a.metric == "euclidean"
            else evaluate.jaccard_per_user(top, test))
     value = "error" if a.metric == "euclidean" else "jaccard"
-    evaluate.mean_metric(per, value, test).show(truncate=False)
+    _result(evaluate.mean_metric(per, value, test), a.output)
+
+
+def _result(metric: DataFrame, output: str | None) -> None:
+    """Prints the metric's row; with ``output`` it is stored too (Parquet)."""
+    metric = materialize(metric, "metric")
+    metric.show(truncate=False)
+    if output:
+        write_parquet(metric, output)
 
 
 def evaluate_knn(spark, a):
@@ -119,9 +153,11 @@ def evaluate_knn(spark, a):
     rec = read_recommendation_lines(spark, a.recommendations)
     rec = indexing.encode(indexing.encode(rec, ui, "key", USER), ii, "item_key", ITEM,
                           index_key="key")
-    test = read_triples(spark, a.test, mode="whitespace")
+    seen = Observation("held-out")
+    test = materialize(read_triples(spark, a.test, mode="whitespace", observation=seen), "held-out")
+    report(a.test, seen.get)
     per = evaluate.jaccard_per_user(rec.select(USER, ITEM), test)
-    evaluate.mean_metric(per, "jaccard", test).show(truncate=False)
+    _result(evaluate.mean_metric(per, "jaccard", test), a.output)
 
 
 def main(argv=None) -> None:
@@ -138,10 +174,14 @@ def main(argv=None) -> None:
         return p
 
     io = [(["input"], {}), (["output"], {})]
-    job("etl", etl, *io)
+    store = (["--output"], {"default": None, "help": "store the metric's row here (Parquet)"})
+    buckets = (["--buckets"], {"type": int, "default": 0, "help": "lists are bucketed by item, this many buckets"})
+    job("etl", etl, *io,
+        (["--user-index"], {"default": None, "help": "an earlier index: its ids stay, new keys follow"}),
+        (["--item-index"], {"default": None, "help": "likewise for items"}))
     job("item-neighbours", item_neighbours_job, *io,
         (["--measure"], {"default": "cosine", "choices": MEASURES}),
-        (["--k"], {"type": int, "default": 100}),
+        (["--k"], {"type": int, "default": 100}), buckets,
         (["--sparse"], {"action": "store_true", "help": "co-rated pairs only, no zero fill"}))
     job("pair-similarity", pair_similarity_job, *io)
     job("recommend-knn", recommend_knn, (["users"], {}), (["input"], {}), (["user_index"], {}),
@@ -151,14 +191,14 @@ def main(argv=None) -> None:
         (["--sparse"], {"action": "store_true", "help": "only users sharing an item"}))
     job("holdout", holdout_job, *io, (["--users"], {"type": int, "default": 25}),
         (["--k"], {"type": int, "default": 10}), (["--user-index"], {"default": None}))
-    job("evaluate-item", evaluate_item, (["input"], {}),
+    job("evaluate-item", evaluate_item, (["input"], {}), store, buckets,
         (["--metric"], {"default": "euclidean", "choices": ["euclidean", "jaccard"]}),
         (["--measure"], {"default": "cosine", "choices": MEASURES}),
         (["--users"], {"type": int, "default": 10}), (["--k"], {"type": int, "default": 10}),
         (["--n"], {"type": int, "default": 10}), (["--neighbours"], {"type": int, "default": 100}),
         (["--stored"], {"default": None, "help": "Parquet neighbour lists to use instead"}),
         (["--sparse"], {"action": "store_true"}))
-    job("evaluate-knn", evaluate_knn, (["test"], {}), (["recommendations"], {}),
+    job("evaluate-knn", evaluate_knn, (["test"], {}), (["recommendations"], {}), store,
         (["user_index"], {}), (["item_index"], {}))
     a = ap.parse_args(argv)
     builder = SparkSession.builder.appName(f"corate-{a.job}")

@@ -5,3 +5,4 @@ in parallel (one file per partition) instead of through the driver."""
 from corate.sinks.text import (  # noqa: F401
     index_lines, recommendation_lines, triple_lines, write_lines, write_parquet,
 )
+from corate.sinks.stores import read_bucketed, write_bucketed  # noqa: F401

@@ -7,7 +7,7 @@ dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +20,15 @@ REVIEW_SCHEMA = T.StructType([
 _FIELDS = [f.name for f in REVIEW_SCHEMA.fields]
 
 
-def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """``(reviewerID, asin, overall)`` from JSON-lines files."""
+def read_reviews(spark: SparkSession, path: str, observation: Observation | None = None) -> DataFrame:
+    """``(reviewerID, asin, overall)`` from JSON-lines files. An
+    ``observation`` receives ``n_lines`` and ``n_parsed`` from the same scan."""
     df = spark.read.schema(REVIEW_SCHEMA).option("mode", "PERMISSIVE").json(path)
+    if observation is not None:
+        known = F.lit(True)
+        for f in _FIELDS:
+            known = known & F.col(f).isNotNull()
+        df = df.observe(observation, F.count(F.lit(1)).alias("n_lines"), F.count_if(known).alias("n_parsed"))
     return df.dropna(subset=_FIELDS)
 
 

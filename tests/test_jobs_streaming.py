@@ -94,3 +94,34 @@ def test_holdout_evaluations_and_pair_job(spark, tmp_path, capsys):
     jobs.main(["pair-similarity", f"{out}/triples", str(tmp_path / "pairs")])
     p = spark.read.parquet(str(tmp_path / "pairs"))
     assert p.count() > 0 and p.where("item_a >= item_b").count() == 0
+
+
+def test_jobs_report_bad_lines_grow_an_index_and_store_results(spark, tmp_path, capsys):
+    import json
+
+    def reviews(name, rows):
+        (tmp_path / name).write_text("\n".join('{"reviewerID":"%s","asin":"%s","overall":%d}' % x for x in rows) + "\nno json\n")
+        return str(tmp_path / name)
+
+    first = [(f"U{u}", f"I{i}", 1 + (u * i) % 5) for u in range(2, 9) for i in range(1, 9) if (u + i) % 3]
+    jobs.main(["etl", reviews("a.json", first), str(tmp_path / "a")])
+    assert '"n_lines": %d, "n_parsed": %d' % (len(first) + 1, len(first)) in capsys.readouterr().err
+    more = first + [("U0", "I0", 3), ("U11", "I1", 2), ("U11", "I2", 4)]
+    jobs.main(["etl", reviews("b.json", more), str(tmp_path / "b"), "--user-index", str(tmp_path / "a/user_index"),
+               "--item-index", str(tmp_path / "a/item_index")])
+    ids = lambda p: dict(r.value.split(" ") for r in spark.read.text(str(tmp_path / p)).collect())
+    old, new = ids("a/user_index"), ids("b/user_index")
+    assert old.items() <= new.items() and {new["U0"], new["U11"]} == {str(len(old)), str(len(old) + 1)}
+
+    (tmp_path / "t.txt").write_text("\n".join(f"{new[u]} {i[1:]} {r}" for u, i, r in more) + "\n1 2\n1 2 NaN\n")
+    capsys.readouterr()
+    jobs.main(["item-neighbours", str(tmp_path / "t.txt"), str(tmp_path / "nb"), "--k", "5", "--buckets", "3"])
+    seen = json.loads([x for x in capsys.readouterr().err.splitlines() if x.startswith('{"input"')][-1])
+    assert (seen["n_lines"], seen["n_parsed"], seen["n_bad_fields"], seen["n_bad_numbers"]) == \
+        (len(more) + 2, len(more), 1, 1)
+    jobs.main(["item-neighbours", str(tmp_path / "t.txt"), str(tmp_path / "plain"), "--k", "5"])
+    for stored in (["nb", "--buckets", "3"], ["plain"]):
+        jobs.main(["evaluate-item", str(tmp_path / "t.txt"), "--users", "3", "--k", "2", "--n", "4", "--metric", "jaccard",
+                   "--stored", str(tmp_path / stored[0]), *stored[1:], "--output", str(tmp_path / f"metric-{stored[0]}")])
+    a, b = (spark.read.parquet(str(tmp_path / f"metric-{x}")).collect() for x in ("nb", "plain"))
+    assert a == b and a[0].n_users == 3
