@@ -20,8 +20,10 @@ returned. The candidate search loses no link:
 * A probed key with more than ``HOT_KEY`` holders that are still apart (near
   copies just below the threshold, a passage that makes up most of its
   texts) would give each such pair many times. Its holders are compared in
-  blocks instead: two blocks of about ``BLOCK`` sets meet in a task that
-  gives out links only.
+  blocks instead (:func:`_block_links`): only holders outside the largest
+  component so far are compared with the others, large groups first lose the
+  sets that share too few shingles with the rest, and a task gives out a
+  forest over components, never all links.
 
 Groups are never expanded into all pairs: the holders of a key are first
 compared with one of them (a star), the verified links are closed to
@@ -61,6 +63,8 @@ DOUBLE_EVERY = 25
 #: Probed keys with more holders are compared in blocks of so many sets.
 HOT_KEY = 64
 BLOCK = 512
+#: Sets of a block have about so many shingles at most (the largest set more).
+BLOCK_SHINGLES = 1 << 19
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
 
 
@@ -236,47 +240,171 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
             .select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint"))
 
 
-def _block_links(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links among the members of each centre's group.
+def _merged(members: DataFrame, centers: DataFrame) -> DataFrame:
+    """``(group, node, root, n)``: the members of hot keys in the groups in
+    which they are compared.
 
-    A group's members are dealt to blocks of about ``BLOCK`` by a hash; every
-    two blocks meet in one task, which counts the common shingles of all
-    their sets at once and gives out links only. A member is sent to as many
-    tasks as its group has blocks, and a task holds two blocks.
+    ``members(g, node, root, n)`` of hot keys, ``centers(g, center)``. Keys
+    with one centre are one group. Two texts often share keys of several
+    centres and would meet in each of these groups; so a centre takes over
+    the groups of the centres it shares a key with, unless that makes more
+    pairs than the groups have by themselves.
     """
-    size = members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    texts = materialize(_texts_of(docs, classes, members.select("node").distinct()), "hot-texts")
-    rows = (members.join(size, "center").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-            .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node")
-            .join(texts, "node"))
+    rows = materialize(members.join(centers, "g"), "hot-members")
+    # the largest centre among the keys that a centre holds itself
+    own = rows.join(centers.select(F.col("center").alias("node")).distinct(), "node", "left_semi")
+    heads = own.groupBy("node").agg(F.max("center").alias("head")).withColumnRenamed("node", "center")
+    heads = materialize(heads, "group-heads")
+    again = heads.select(F.col("center").alias("head"), F.col("head").alias("top"))
+    heads = heads.join(again, "head").select("center", F.col("top").alias("head"))  # a head's head
+    single = rows.select("center", "node", "root", "n").distinct().join(heads, "center")
+    pairs = lambda c: F.sum(F.col(c).cast("double") * F.col(c))
+    apart = single.groupBy("center", "head").agg(F.count(F.lit(1)).alias("c")).groupBy("head").agg(pairs("c").alias("apart"))
+    joined = single.select("head", "node").distinct().groupBy("head").agg(pow2(F.count(F.lit(1))).alias("joined"))
+    merge = apart.join(joined, "head").select("head", (F.col("joined") <= F.col("apart")).alias("merge"))
+    return (single.join(merge, "head")
+            .select(F.when(F.col("merge"), F.col("head")).otherwise(F.col("center")).alias("group"), "node", "root", "n")
+            .distinct())
+
+
+def pow2(c):
+    return c.cast("double") * c
+
+
+def _possible(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows(group, node, root, n)`` of large groups without the sets that
+    cannot link within their group.
+
+    ``w`` shingles of a set occur in other sets of the group, so two sets
+    have at most the smaller ``w`` in common, and link only if 7 times that
+    is at least 3 times the sum of their sizes. A set stays if its own ``w``
+    allows that with the smallest size, and some set's ``w`` with its size.
+    """
+    def shingles(batches):
+        for b in batches:
+            for i, s in shingle_sets(b.column(2), SHINGLE):
+                size = len(s)
+                for at in range(0, size, 1 << 16):
+                    part = s[at:at + (1 << 16)]
+                    yield _batch([("group", pa.array(np.full(len(part), b.column(0)[i].as_py()))),
+                                  ("node", pa.array(np.full(len(part), b.column(1)[i].as_py()))),
+                                  ("shingle", pa.array(signed(part)))])
+
+    found = (rows.select("group", "node").join(texts, "node").select("group", "node", "text")
+             .mapInArrow(shingles, "group bigint, node bigint, shingle bigint"))
+    alone = (found.groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"))
+             .where("c = 1").groupBy("group", "node").agg(F.count(F.lit(1)).alias("alone")))
+    known = materialize(rows.join(alone, ["group", "node"], "left")
+                        .withColumn("w", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone"), "group-shares")
+    best = materialize(known.groupBy("group").agg(F.max(7 * F.col("w") - 3 * F.col("n")).alias("most"),
+                                                  F.min("n").alias("least")), "group-bounds")
+    return (known.join(best, "group")
+            .where("7 * w - 3 * n >= 3 * least AND most >= 3 * n").select("group", "node", "root", "n"))
+
+
+def _forest(left: np.ndarray, right: np.ndarray) -> list[int]:
+    """Positions of pairs that connect what all pairs (left, right) do."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    keep = []
+    for i, (x, y) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            parent[x] = y
+            keep.append(i)
+    return keep
+
+
+def _links_between(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i, j) of similar enough sets of two lists.
+
+    Only shingles on both sides count; they are taken by the thousand, so
+    that matrices stay small.
+    """
+    sides = (left, right)
+    n = [np.array([len(x) for x in side]) for side in sides]
+    flat = [np.concatenate(side) for side in sides]
+    every = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    row, column = [], []
+    for k in (0, 1):
+        at = np.searchsorted(every, flat[k])
+        ok = at < len(every)
+        ok[ok] = every[at[ok]] == flat[k][ok]
+        row.append(np.repeat(np.arange(len(sides[k])), n[k])[ok])
+        column.append(at[ok])
+    common = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, len(every), 8192):
+        m = []
+        for k in (0, 1):
+            here = (column[k] >= start) & (column[k] < start + 8192)
+            x = np.zeros((len(sides[k]), min(8192, len(every) - start)), np.float32)
+            x[row[k][here], column[k][here] - start] = 1
+            m.append(x)
+        common += (m[0] @ m[1].T).astype(np.int64)
+    return np.nonzero(100 * common >= 75 * (n[0][:, None] + n[1][None, :] - common))
+
+
+def _block_links(groups: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links that connect the members of each group as all their links would.
+
+    Members of the group's largest component so far (``root``) are not
+    compared with each other, only with the others; these are compared among
+    themselves too. Both kinds are dealt to blocks of about ``BLOCK`` sets by
+    a hash (fewer, if they are large); every two blocks meet in one task,
+    which gives out a forest over the components, never all links.
+    """
+    groups = materialize(groups, "hot-groups")
+    texts = materialize(_texts_of(docs, classes, groups.select("node").distinct()), "hot-texts")
+    size = groups.groupBy("group").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > BLOCK).select("group")
+    size = materialize(size, "large-groups")
+    if not size.isEmpty():
+        large = groups.join(size, "group", "left_semi")
+        groups = materialize(groups.join(size, "group", "left_anti").unionByName(_possible(large, texts)), "hot-possible")
+    roots = groups.groupBy("group", "root").agg(F.count(F.lit(1)).alias("c"))
+    largest = roots.groupBy("group").agg(F.max(F.struct("c", "root")).alias("m")).select("group", F.col("m.root").alias("top"))
+    rows = groups.join(largest, "group").withColumn("minor", F.col("root") != F.col("top"))
+    blocks = lambda minor: F.greatest(F.ceil(F.count_if(minor) / BLOCK),
+                                      F.ceil(F.sum(F.when(minor, F.col("n"))) / BLOCK_SHINGLES), F.lit(1).cast("bigint"))
+    dealt = rows.groupBy("group").agg(blocks(F.col("minor")).alias("few"), blocks(~F.col("minor")).alias("many"),
+                                      F.count_if("minor").alias("minors")).where("minors > 0")
+    rows = (rows.join(dealt, "group")
+            .withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("minor"), F.col("few")).otherwise(F.col("many")))))
+    to = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    task = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("own")
+    across = F.transform(to("many"), lambda j: task(0, own, j))
+    among = F.transform(to("few"), lambda o: task(1, F.least(own, o), F.greatest(own, o)))
+    tasks = F.when(F.col("minor"), F.concat(across, among)).otherwise(F.transform(to("few"), lambda i: task(0, i, own)))
+    rows = (rows.select("group", "node", "root", "minor", "own", F.explode(tasks).alias("t"))
+            .select("group", "t.kind", "t.i", "t.j", "node", "root", "minor", "own").join(texts, "node"))
 
     def compare(key, block):
-        _, i, j = (x.as_py() for x in key)
-        own = block.column("own").to_numpy()
-        node = block.column("node").to_numpy()
+        _, kind, i, j = (x.as_py() for x in key)
+        own, minor = block.column("own").to_numpy(), block.column("minor").to_numpy()
+        node, root = block.column("node").to_numpy(), block.column("root").to_numpy()
+        a = np.flatnonzero(minor & (own == i))
+        b = np.flatnonzero(minor & (own == j)) if kind else np.flatnonzero(~minor)
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if not len(a) or not len(b):
+            return none
         found = dict(shingle_sets(block.column("text"), SHINGLE))
-        n = np.array([len(found[r]) for r in range(len(node))])
-        every, column = np.unique(np.concatenate([found[r] for r in range(len(node))]), return_inverse=True)
-        row = np.repeat(np.arange(len(node)), n)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        common = np.zeros((len(left), len(right)), np.int64)
-        place = np.full((2, len(node)), -1)
-        place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
-        for at in range(0, len(every), 8192):  # shingles by the thousand, so that matrices stay small
-            here = (column >= at) & (column < at + 8192)
-            r, c = row[here], column[here] - at
-            m = [np.zeros((len(x), min(8192, len(every) - at)), np.float32) for x in (left, right)]
-            for k in (0, 1):
-                ok = place[k, r] >= 0
-                m[k][place[k, r[ok]], c[ok]] = 1
-            common += (m[0] @ m[1].T).astype(np.int64)
-        x, y = np.nonzero(100 * common >= 75 * (n[left][:, None] + n[right][None, :] - common))
-        a, b = node[left[x]], node[right[y]]
-        ok = a != b
-        return pa.table({"a": a[ok], "b": b[ok]})
-
-    return rows.groupBy("center", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+        x, y = _links_between([found[r] for r in a.tolist()], [found[r] for r in b.tolist()])
+        apart = root[a[x]] != root[b[y]]
+        x, y = a[x[apart]], b[y[apart]]
+        if not len(x):
+            return none
+        # one pair for each two components, then as many as connect them
+        _, one = np.unique(np.stack([root[x], root[y]]), axis=1, return_index=True)
+        x, y = x[one], y[one]
+        keep = _forest(root[x], root[y])
+        return pa.table({"a": node[x[keep]], "b": node[y[keep]]})
+
+    return rows.groupBy("group", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def _uneven_links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -392,8 +520,8 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
     hot = probes.where(F.col("cost") > HOT_KEY).select("g").distinct().join(centers, "g")
     hot = materialize(hot.withColumnRenamed("a", "center"), "hot-keys")
     if not hot.isEmpty():
-        members = materialize(held.join(hot, "g").select("center", "node").distinct(), "hot-members")
-        links = links.unionByName(_block_links(members, docs, classes))
+        groups = _merged(held.select("g", "node", "root", "n"), hot)
+        links = links.unionByName(_block_links(groups, docs, classes))
     links = links.unionByName(_verified(more, docs, classes))
     uneven = _uneven_links(docs, classes)
     if uneven is not None:

@@ -181,6 +181,86 @@ def test_jaccard_components_match_brute_force(spark, segments, hot, monkeypatch)
     assert sum(least[c] != i for (i, _), c in zip(rows, comp, strict=True)) > 60
 
 
+def passages(rng, n, words, changed, vocab=5000):
+    """Texts of one passage with so many words replaced at random."""
+    base = [f"p{rng.randrange(vocab)}" for _ in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for j in rng.sample(range(words), rng.choice(changed)):
+            w[j] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("changed, some", [([0, 1, 2, 3], True), ([2, 3, 4, 5], True), ([4, 5, 6], False)])
+def test_hot_groups_match_brute_force_with_few_comparisons(spark, changed, some, monkeypatch):
+    """A passage that makes up most of its texts, around the threshold, and
+    several passages joined by texts that hold two of them."""
+    monkeypatch.setattr(jaccard_join, "HOT_KEY", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    rng = random.Random(sum(changed))
+    rows = passages(rng, 150, 60, changed) + [(1000 + i, t) for i, t in passages(rng, 60, 50, changed)]
+    rows += [(2000 + i, rows[i][1] + " " + rows[150 + i][1]) for i in range(20)]
+    seen = []
+    real = jaccard_join._forest
+    monkeypatch.setattr(jaccard_join, "_forest", lambda a, b: seen.append(len(a)) or real(a, b))
+    got = jaccard_join.jaccard_components(docs_frame(spark, rows)).collect()
+    sets = [shingle_set(t) for _, t in rows]
+    comp, least = groups(sets), {}
+    for (i, _), c in zip(rows, comp, strict=True):
+        least[c] = min(least.get(c, i), i)
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, least[c]) for (i, _), c in zip(rows, comp, strict=True))
+    assert some == any(least[c] != i for (i, _), c in zip(rows, comp, strict=True))
+
+
+def test_sets_that_share_too_little_are_not_compared(spark, monkeypatch):
+    """120 words with 4 replaced at random: most sets have 20 shingles of
+    their own, too many to link with another, and are left out."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    rows = passages(random.Random(5), 200, 120, [4])
+    left = []
+    real = jaccard_join._possible
+
+    def possible(*a):
+        out = real(*a)
+        left.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_possible", possible)
+    got = jaccard_join.jaccard_components(docs_frame(spark, rows)).collect()
+    sets = [shingle_set(t) for _, t in rows]
+    assert len({r.component_id for r in got}) == len(set(groups(sets)))
+    assert left and max(left) < 60  # of 200
+
+
+def test_forests_connect_what_the_pairs_do():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 60, 80), rng.integers(0, 60, 80)
+    keep = jaccard_join._forest(a, b)
+
+    def parts(pairs):
+        name = {}
+        for x, y in pairs:
+            x, y = name.setdefault(x, x), name.setdefault(y, y)
+            name = {k: min(x, y) if v in (x, y) else v for k, v in name.items()}
+        return name
+
+    whole, kept = parts(zip(a.tolist(), b.tolist(), strict=True)), parts((int(a[i]), int(b[i])) for i in keep)
+    assert {k: v for k, v in whole.items() if k in kept} == kept and len(keep) < 60
+
+
+def test_links_between_two_lists():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**62, 40).astype(np.uint64)
+    one = [np.unique(np.r_[base[:rng.integers(20, 41)], rng.integers(0, 2**62, rng.integers(0, 6)).astype(np.uint64)]) for _ in range(30)]
+    two = one[10:20] + [np.unique(rng.integers(0, 2**62, 9).astype(np.uint64))]
+    x, y = jaccard_join._links_between(one, two)
+    want = {(i, j) for i, s in enumerate(one) for j, t in enumerate(two)
+            if 4 * len(np.intersect1d(s, t)) >= 3 * len(np.union1d(s, t))}
+    assert set(zip(x.tolist(), y.tolist(), strict=True)) == want and want
+
+
 def test_jaccard_keeps_one_of_each_component(spark):
     rows = near_copies(random.Random(12), 80) + ODD_DOCS
     frame = docs_frame(spark, rows)
