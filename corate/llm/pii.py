@@ -14,8 +14,9 @@ Expectation-maximisation (Dawid-Skene with three-valued votes) estimates
 each labeler's reliability and each kind's share from the counts of vote
 patterns over all candidates: at most kinds x 3^5 rows reach the driver,
 however large the corpus. The posteriors are the targets of a logistic
-regression on votes and features of the span, fitted on at most
-``TRAIN_ROWS`` candidates (chosen by hash), and it scores every candidate.
+regression on votes and features of the span, fitted on about ``TRAIN_ROWS``
+different inputs at most (chosen by a threshold on their hash, weighted by
+their candidates), and it scores every candidate.
 A candidate becomes a span if its score reaches ``MIN_SCORE`` and it
 overlaps no base match.
 
@@ -83,6 +84,12 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _small(digits: str) -> int:
+    """The value of a run of digits of any length, 999 for all above that."""
+    digits = digits.lstrip("0")
+    return int(digits or "0") if len(digits) <= 3 else 999
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Leftmost matches of ``local@domain.tld``, found from each ``@``."""
     out, done, at = [], 0, text.find("@")
@@ -106,7 +113,7 @@ def base_spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[
     found: dict[str, list[tuple[int, int]]] = {"email": emails(text), "ip": [], "card": [], "phone": []}
     failed = []
     for m in _IP.finditer(text):
-        ok = all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))
+        ok = max(map(_small, m[0].split("."))) <= 255
         found["ip"].append(m.span()) if ok else failed.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         n = m.end() - m.start()
@@ -164,7 +171,7 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
         regex = 1 if "@" in span else 0
         gaz = 1 if re.split(r"[. )\]]+", span.lower())[-1] in TOP_DOMAINS else 0
     elif kind == "ip":
-        parts = [int(x) if len(x) < 10 else 999 for x in span.split(".")]
+        parts = [_small(x) for x in span.split(".")]
         regex = 1 if max(parts) <= 255 else -1
         gaz = -1 if parts[0] in (0, 127, 255) or parts[0] < 10 and parts[1] < 10 and max(parts) < 30 else 1
     elif kind == "card":
@@ -197,11 +204,12 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
 
 def features(kind: str, v: tuple[int, ...], length: int, n_digits: int) -> list[float]:
     """Inputs of the classifier: a constant, the kind, each vote's two
-    sides, the span's length and share of digits."""
+    sides, the span's length and share of digits (both in 64 steps, so that
+    there are few different inputs, however many candidates)."""
     x = [1.0, *(float(kind == k) for k in KINDS)]
     for y in v:
         x += [float(y > 0), float(y < 0)]
-    return [*x, min(length, 64) / 64.0, n_digits / max(length, 1)]
+    return [*x, min(length, 64) / 64.0, 64 * n_digits // max(length, 1) / 64.0]
 
 
 def _scan(batches):
@@ -259,13 +267,15 @@ def estimate(patterns: list[tuple[int, tuple[int, ...], int]], rounds: int = EM_
     return table_, share, post
 
 
-def fit(x: np.ndarray, target: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
+def fit(x: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-2,
+        rounds: int = 30) -> np.ndarray:
     """Logistic regression on soft targets by Newton steps."""
+    weight = np.ones(len(x)) if weight is None else weight
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - target) + ridge * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        grad = x.T @ (weight * (p - target)) + ridge * w
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -274,18 +284,28 @@ def fit(x: np.ndarray, target: np.ndarray, ridge: float = 1e-2, rounds: int = 30
 
 
 def train(scanned: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray | None:
-    """Weights of the span classifier from the scanned documents."""
+    """Weights of the span classifier from the scanned documents.
+
+    Candidates with equal inputs are one training row with their number as
+    its weight. If there are more than ``train_rows`` different inputs, those
+    with the smallest hashes are taken: the threshold follows from their
+    count, so about ``train_rows`` rows reach the driver at any size.
+    """
     spans = scanned.select(F.explode("candidates").alias("c"))
-    counts = spans.groupBy("c.kind", "c.votes").agg(F.count(F.lit(1)).alias("n")).collect()  # <= kinds * 3^5 rows
+    rows = materialize(spans.groupBy("c.kind", "c.votes", "c.x").agg(F.count(F.lit(1)).alias("n")), "pii-inputs")
+    counts = rows.groupBy("kind", "votes").agg(F.sum("n").alias("n")).collect()  # <= kinds * 3^5 rows
     if not counts:
         return None
     counts = sorted((r["kind"], tuple(r["votes"]), r["n"]) for r in counts)
     _, _, post = estimate(counts)
     target = {(k, v): float(p) for (k, v, _), p in zip(counts, post, strict=True)}
-    rows = (spans.select("c.kind", "c.votes", "c.x", F.xxhash64("c.x", "c.start", "c.end").alias("h"))
-            .orderBy("h").limit(train_rows).collect())  # bounded by the parameter
+    steps = 1 << 30
+    part = min(steps, steps * train_rows // rows.count())
+    rows = rows.where(F.pmod(F.xxhash64("kind", "votes", "x"), F.lit(steps)) < part).collect()
+    rows.sort(key=lambda r: (r["kind"], r["x"]))
     x = np.array([r["x"] for r in rows])
-    return fit(x, np.array([target[r["kind"], tuple(r["votes"])] for r in rows]))
+    weight = np.array([r["n"] for r in rows], float)
+    return fit(x, np.array([target[r["kind"], tuple(r["votes"])] for r in rows]), weight * len(rows) / weight.sum())
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -319,4 +339,6 @@ def query(spark, sf_dir) -> DataFrame:
     names = F.array(*[F.lit(k) for k in KINDS])
     spans = F.array_join(F.transform("found", lambda c: F.concat_ws(
         ":", F.get(names, c["kind"]), c["start"].cast("string"), c["end"].cast("string"))), ",")
-    return find(docs).select("doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", spans.alias("spans"))
+    n = F.size("found").cast("bigint")
+    return find(docs).select("doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", spans.alias("spans"),
+                             n.alias("n_spans"), (n > 0).alias("has_pii"))

@@ -424,6 +424,32 @@ def test_reliabilities_are_recovered_and_held_out_spans_classified():
     assert ((x[10_000:] @ w > 0) == y[10_000:]).mean() > .95
 
 
+def test_long_runs_of_zeros_are_numbers(spark):
+    zeros = "0" * 5000
+    texts = [zeros + ".1.1.1", f"1.{zeros}7.{zeros}.2", "1.2.3." + "9" * 5000, "1.2.3." + zeros + "256"]
+    got = pii.find(docs_frame(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [r.n_ip for r in got] == [1, 1, 0, 0]
+
+
+def test_training_rows_are_bounded_whatever_the_corpus(spark):
+    rng = random.Random(9)
+    words = lambda: "".join(rng.choice("abcdef0123456789_/+-") for _ in range(rng.randrange(12, 70)))
+    rows = [(i, f"secret = {words()} and token: {words()}") for i in range(3000)]
+    scanned = docs_frame(spark, rows).selectExpr("doc_id", "text").mapInArrow(
+        pii._scan, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, "
+                   "candidates array<struct<kind:int,start:bigint,end:bigint,base:boolean,votes:array<int>,x:array<double>>>")
+    sizes = []
+    real = pii.fit
+    for bound in (50, 10**6):
+        pii.fit = lambda x, *a: sizes.append(len(x)) or real(x, *a)
+        try:
+            few = pii.train(scanned, bound)
+        finally:
+            pii.fit = real
+        assert few is not None
+    assert 20 < sizes[0] < 100 < sizes[1]
+
+
 def test_personal_data_of_documents(spark):
     rng = random.Random(8)
     plain = lambda: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "12", "7.5"]) for _ in range(12))
