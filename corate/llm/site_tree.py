@@ -50,6 +50,7 @@ from __future__ import annotations
 import html as _html
 import re
 from collections import Counter
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -69,7 +70,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title iframe xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rtc rp s samp "
-    "small span strike strong sub sup time tt u var wbr br center".split())
+    "small span strike strong sub sup time tt u var wbr br center picture source track param map meter progress "
+    "output slot math".split())
 NEVER_TAGS = frozenset(
     "head script style noscript template button select option textarea iframe svg canvas object embed applet audio "
     "video title input".split())
@@ -87,7 +89,10 @@ CLOSES_P = frozenset(
 SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                 "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody"), "tfoot": ("tbody",)}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>""", re.S)
+#: A whole tag; one with a < inside an attribute is found by :class:`_Tags`.
+_TAG = re.compile(r"""</?[a-zA-Z][^<>"']*+(?:"[^<"]*+"[^<>"']*+|'[^<']*+'[^<>"']*+)*+>""")
+_LETTER = re.compile(r"</?[a-zA-Z]")
+_SPECIAL = re.compile(r"""[>"']""")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _CUT = re.compile(r"[\s_\-]+")
@@ -98,13 +103,57 @@ STYLE, CONTENT, MARK, NAME = range(4)  # kinds of the tree's rows
 NOISE = "!"  # in the label of an element that markup calls noise
 
 
+#: Elements nested deeper belong to the tree node of this depth (texts stay).
+MAX_DEPTH = 256
+
+
+class _Tags:
+    """Where tags end. A quoted value may hold any character; a tag whose
+    quotes never close is none. Linear over a page: quotes that open a value
+    without a way to the tag's end are remembered."""
+
+    def __init__(self, source: str):
+        self.source, self.dead, self.open = source, set(), {'"': len(source), "'": len(source)}
+        self.next = _SPECIAL.search(source)  # the next special character from the last tag on
+
+    def end(self, at: int) -> int:
+        """The end of the tag that begins at ``at``, or -1."""
+        source, passed = self.source, []
+        if self.next and at > self.next.start():
+            self.next = _SPECIAL.search(source, at)
+        m = self.next
+        while m:
+            if m[0] == ">":
+                return m.end()
+            x, quote = m.start(), m[0]
+            if x in self.dead or x >= self.open[quote]:
+                break
+            passed.append(x)
+            close = source.find(quote, x + 1)
+            if close < 0:
+                self.open[quote] = x  # no such quote closes from here on
+                break
+            m = _SPECIAL.search(source, close + 1)
+        self.dead.update(passed)
+        return -1
+
+
 class _Node:
-    __slots__ = ("tag", "label", "never", "noise", "named", "up", "path", "kids", "size", "holds", "inside", "marks")
+    __slots__ = ("tag", "label", "never", "noise", "named", "up", "path", "depth", "kids", "size", "holds", "inside",
+                 "marks", "within")
 
     def __init__(self, tag: str, label: str, noise: bool = False, named: bool = False, up: _Node | None = None):
         self.tag, self.label, self.noise, self.named, self.up = tag, label, noise, named, up
-        self.path = up.path + ">" + label if up and up.up else label
+        self.depth = up.depth + 1 if up else 0
+        if up and self.depth > MAX_DEPTH:
+            self.path = up.path
+        else:
+            self.path = up.path + ">" + label if up and up.up else label
         self.never = tag in NEVER_TAGS or bool(up and up.never)
+        #: the kinds of chosen elements around it
+        self.within = up.within if up else frozenset()
+        if up and up.tag in ("article", "main"):
+            self.within |= {up.tag}
         self.kids, self.size, self.holds, self.inside, self.marks = [], 0, False, False, ()
 
 
@@ -129,6 +178,11 @@ def _node(tag: str, raw: str, up: _Node, in_article: bool) -> _Node:
     return _Node(tag, ".".join([tag, *sorted(set(names))]), sure or named, not sure, up)
 
 
+@cache
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\s*+>", re.I)
+
+
 def parse(source: str) -> tuple[list[tuple[str, str, tuple[str, ...]]], dict[str, str]]:
     """The text blocks (path, text, paths of the marked nodes around it) of a
     page, and each path's child tags in order."""
@@ -137,73 +191,102 @@ def parse(source: str) -> tuple[list[tuple[str, str, tuple[str, ...]]], dict[str
     root = _Node("", "")
     stack: list[_Node] = [root]
     nodes: list[_Node] = []
+    opened: Counter[str] = Counter()
     text: list[str] = []
 
     def flush() -> None:
-        if text:
+        """Ends a block. Inside an element that never shows text there is
+        none to end: the text before it goes on behind it."""
+        if text and not stack[-1].never:
             words = _html.unescape("".join(text)).split()
             text.clear()
-            if words and not stack[-1].never:
+            if words:
                 blocks.append((stack[-1], " ".join(words)))
                 stack[-1].size += len(blocks[-1][1])
 
+    def say(part: str) -> None:
+        if not stack[-1].never:
+            text.append(part)
+
     def close(count: int) -> None:
-        flush()
         for _ in range(count):
+            flush()
             node = stack.pop()
+            opened[node.tag] -= 1
             if node.size:
                 styles[node.path] = " ".join(node.kids)
                 stack[-1].size += node.size
 
-    at, end = 0, len(source)
+    def depth_of(tag: str) -> int:
+        """The place of the innermost open ``tag``, 0 if none is."""
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag) if opened[tag] else 0
+
+    at = start = 0  # where to look for a tag, where the text before it begins
+    end, tags = len(source), _Tags(source)
     while at < end:
-        m = _TOKEN.search(source, at)
-        if not m:
-            text.append(source[at:])
+        lt = source.find("<", at)
+        if lt < 0:
             break
-        if m.start() > at:
-            text.append(source[at:m.start()])
-        at, raw = m.end(), m[0]
-        if raw[1] in "!?":
+        what = source[lt + 1:lt + 2]
+        if what in ("!", "?") and what:
+            over = source.find("-->", lt + 4) if source.startswith("<!--", lt) else source.find(">", lt)
+            if lt > start:
+                say(source[start:lt])
+            at = start = end if over < 0 else over + (3 if source.startswith("<!--", lt) else 1)
             continue
+        m = _TAG.match(source, lt)
+        over = m.end() if m else tags.end(lt) if _LETTER.match(source, lt) else -1
+        if over < 0:
+            at = lt + 1  # no tag: text
+            continue
+        if lt > start:
+            say(source[start:lt])
+        raw = source[lt:over]
+        at = start = over
         tag = _NAME.match(raw)[1].lower()
         if raw[1] == "/":
-            if tag in INLINE:
-                continue
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
-            if depth is not None:
+            if tag not in INLINE and (depth := depth_of(tag)):
                 close(len(stack) - depth)
             continue
         if tag in RAW and not raw.endswith("/>"):
-            over = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            if tag in ("script", "style", "noscript", "template", "title", "textarea", "iframe", "xmp"):
-                flush()
-            at = over.end() if over else end
+            over = _closing(tag).search(source, at)
+            at = start = over.end() if over else end
             continue
         if tag == "br":
-            text.append(" ")
+            say(" ")
             continue
         if tag in INLINE:
             continue
-        flush()
-        if tag in CLOSES_P:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), None)
-            if depth is not None:
-                close(len(stack) - depth)
+        if tag not in NEVER_TAGS or tag == "head":
+            flush()
+        if tag in CLOSES_P and (depth := depth_of("p")):
+            close(len(stack) - depth)
         for other in SELF_CLOSING.get(tag, ()):
             if stack[-1].tag == other:
                 close(1)
-        node = _node(tag, raw, stack[-1], any(n.tag in ("article", "main") for n in stack))
-        kids = stack[-1].kids
-        if not kids or kids[-1] != tag:
-            kids.append(tag)  # runs of like children count once
+        up = stack[-1]
+        node = _node(tag, raw, up, bool(up.within) or up.tag in ("article", "main"))
+        if not up.kids or up.kids[-1] != tag:
+            up.kids.append(tag)  # runs of like children count once
         if tag not in VOID:
             stack.append(node)
             nodes.append(node)
+            opened[tag] += 1
+    if start < end:
+        say(source[start:])
+    while stack[-1].never:
+        close(1)
+    flush()
     close(len(stack) - 1)
     return _marked(root, nodes, blocks, styles), styles
 
 
+def _with_mark(n: _Node) -> tuple[str, ...]:
+    """The marks around a marked node and its own, paths once."""
+    above = n.up.marks
+    return above if above and above[-1] == n.path else (*above, n.path)
+
+
 def _marked(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str]],
             styles: dict[str, str]) -> list[tuple[str, str, tuple[str, ...]]]:
     """The blocks with the marked nodes around them, by the markup's evidence."""
@@ -212,17 +295,15 @@ def _marked(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str]],
             n.noise = False
     tops: dict[str, list[_Node]] = {"article": [], "main": []}
     for n in nodes:  # outermost ones with text
-        if n.tag in tops and n.size:
-            up = n.up
-            while up and up.tag != n.tag:
-                up = up.up
-            if not up:
-                tops[n.tag].append(n)
+        if n.tag in tops and n.size and n.tag not in n.within:
+            tops[n.tag].append(n)
+    cleared: set[int] = set()
     for n in [*tops["main"], *sorted(tops["article"], key=lambda n: -n.size)[:1]]:
-        while n:
+        while n and id(n) not in cleared:
+            cleared.add(id(n))
             n.noise, n = False, n.up
     for n in nodes:
-        n.marks = (*n.up.marks, n.path) if n.noise else n.up.marks
+        n.marks = _with_mark(n) if n.noise else n.up.marks
     plain = sum(len(t) for n, t in blocks if not n.marks)
     chosen: list[_Node] = []
     for kind in ("article", "main"):
@@ -238,7 +319,7 @@ def _marked(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str]],
         for n in nodes:  # the topmost ones beside the chosen are marked
             n.inside = n.inside or n.up.inside
             beside = n.up.holds and not n.holds and not n.inside
-            n.marks = (*n.up.marks, n.path) if n.noise or beside else n.up.marks
+            n.marks = _with_mark(n) if n.noise or beside else n.up.marks
     out = []
     for n, t in blocks:
         path, marks = n.path, n.marks
@@ -381,8 +462,8 @@ def _extract(batches):
         texts = []
         for source, cut, saved, names in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
             blocks, cut, saved, names = parse(source or "")[0], *(set(x or ()) for x in (cut, saved, names))
-            left = [t for p, t, marks in blocks if all(shared_path(m, names) in saved for m in marks)
-                    and not _is_cut(shared_path(p, names), cut)]
+            shared = {p: shared_path(p, names) for p in {x for p, _, marks in blocks for x in (p, *marks)}}
+            left = [t for p, t, marks in blocks if all(shared[m] in saved for m in marks) and not _is_cut(shared[p], cut)]
             texts.append("\n".join(left or unmarked_texts(blocks)))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
                                          ["page_id", "url", "text"])

@@ -477,3 +477,43 @@ def test_personal_data_of_documents(spark):
         assert [x[1:] for x in mine if x[0] == "secret"] == ([secrets[r.doc_id]] if r.doc_id in secrets else [])
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(len(base[k]) for k in pii.BASE_KINDS)
     assert pii.find(docs_frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("html, texts", [
+    ("<p>Par one <script>x()</script>goes on</p>", ["Par one goes on"]),
+    ("<p>a <button>b</button>c <picture><source src=x><img></picture>d<svg><path/>q</svg> e</p>", ["a c d e"]),
+    ("<p>a<select><option>x<option>y</select>b</p>c", ["ab", "c"]),
+    ("<p>a <button>x</p>b", ["a", "b"]),
+    ("<p>a <textarea>x</textarea><input type=text>b<p>c", ["a b", "c"]),
+    ("<a title='x > y'>b</a> c <a title=\"<p>\">d</a>", ["b c d"]),
+    ("1 < 2 and <3 <a href=\"x>y", ["1 < 2 and <3 <a href=\"x>y"]),
+    ("a<!-- <p> -->b<!doctype html>c<?x y?>d<!--", ["abcd"]),
+    ("<button>a<div>b</div></button>c", ["c"]),
+])
+def test_blocks_of_a_page(html, texts):
+    assert [t for _, t, _ in site_tree.parse(html)[0]] == texts
+
+
+@pytest.mark.parametrize("part, times, tail", [
+    ('<a href="', 222_222, ""), ('<a href="', 222_222, '">'), ("<a ", 666_666, ""), ("<a b='", 300_000, '"'),
+    ("<a b='<a c=\"", 150_000, ">"), ("<", 2_000_000, ""), ("<!--", 500_000, ""), ("</p", 500_000, ""),
+    ("<div>", 100_000, "x"), ("<nav>", 100_000, "x"), ("<div>", 100_000, "</b2>" * 100_000 + "x"),
+    ("<div>", 20_000, "<article>t</article>" * 20_000)])
+def test_odd_pages_take_linear_time_and_memory(part, times, tail):
+    import time
+    import tracemalloc
+
+    begin = time.process_time()
+    site_tree.parse(part * times + tail)
+    assert time.process_time() - begin < 12
+    tracemalloc.start()
+    site_tree.parse(part * (times // 20) + tail[:50_000])
+    assert tracemalloc.get_traced_memory()[1] < 60_000_000
+    tracemalloc.stop()
+
+
+def test_texts_below_the_deepest_node_stay():
+    deep = "<div>" * 3000 + "<p>one</p><p>two</p>" + "</div>" * 2999 + "three"
+    blocks, styles = site_tree.parse(deep)
+    assert [t for _, t, _ in blocks] == ["one", "two", "three"]
+    assert max(p.count(">") for p, _, _ in blocks) == site_tree.MAX_DEPTH - 1 and len(styles) <= site_tree.MAX_DEPTH
