@@ -6,11 +6,14 @@ fingerprint that selects the mapping:
 
 * typed tables: the schema's field paths (``turn_rows`` and any layout whose
   fields are columns);
-* JSON records: the field paths of each record, read with a variant.
+* JSON records: all nested field paths of each record, parsed from its
+  variant's schema.
 
 Extra fields do not matter: if no layout has exactly the fingerprint, the
 first layout (in order of the table) whose paths all occur is taken. A
-record that fits no layout gives no turns, and its layout is null.
+record that fits no layout gives no turns, and its layout is null. A turn's
+text may be a list of parts: their texts are joined, parts without text
+(images) give none.
 
 Canonical turns are formatted as ``<|im_start|>role\\ntext<|im_end|>\\n``.
 Inside texts every backslash is doubled and one is put after the first
@@ -34,6 +37,7 @@ import hashlib
 import re
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,12 +48,16 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 #: Control strings of common chat templates that texts must not contain
 #: (fixed values).
 CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+#: Turns per run of the offsets' sums: a conversation of n turns costs about
+#: n * RUN additions.
+RUN = 256
 TURNS = "array<struct<role:string,text:string>>"
 
 
 class Layout(NamedTuple):
     """``steps``: (role, path) turns in order, where an optional path may be
-    missing; or a list of turns at ``turns`` with ``role``/``text`` fields."""
+    missing; or a list of turns at ``turns`` with ``role``/``text`` fields,
+    ``part`` being the text field of a text's parts if it is a list."""
 
     name: str
     steps: tuple[tuple[str, str, bool], ...] = ()
@@ -57,16 +65,19 @@ class Layout(NamedTuple):
     role: str = ""
     text: str = ""
     join: str = ""  # a second path appended to the first step's text
+    part: str = ""
 
     def paths(self) -> list[str]:
         if self.turns:
-            return [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"]
+            text = f"{self.turns}[].{self.text}"
+            return [f"{self.turns}[].{self.role}", f"{text}[].{self.part}" if self.part else text]
         return [p for _, p, optional in self.steps if not optional] + [self.join] * bool(self.join)
 
 
 #: Layouts of JSON records and of typed tables, the more specific first.
 LAYOUTS = (
     Layout("messages", turns="messages", role="role", text="content"),
+    Layout("message_parts", turns="messages", role="role", text="content", part="text"),
     Layout("sharegpt", turns="conversations", role="from", text="value"),
     Layout("turns", turns="turns", role="role", text="text"),
     Layout("instruction_input", join="input",
@@ -132,9 +143,17 @@ def turns_from_rows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
 def _json_turns(v: Column, layout: Layout) -> Column:
     get = lambda path, kind: F.try_variant_get(v, "$." + path, kind)
     if layout.turns:
-        rows = get(layout.turns, f"array<struct<`{layout.role}`:string,`{layout.text}`:string>>")
         role = lambda r: F.coalesce(*[F.when(r == a, F.lit(b)) for a, b in ROLES.items()], r)
-        return F.transform(rows, lambda t: _turn(role(t[layout.role]), t[layout.text]))
+        of = lambda t, field, kind="string": F.try_variant_get(t, "$." + field, kind)
+
+        def text(t: Column) -> Column:
+            parts = F.transform(of(t, layout.text, "array<variant>"), lambda p: F.coalesce(
+                F.try_variant_get(p, "$." + (layout.part or "text"), "string"),
+                F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string")), F.lit("")))
+            # a list has a text of its own too (its JSON), so parts come first
+            return F.coalesce(F.array_join(parts, ""), of(t, layout.text))
+
+        return F.transform(get(layout.turns, "array<variant>"), lambda t: _turn(role(of(t, layout.role)), text(t)))
     turns = []
     for name, path, optional in layout.steps:
         text = get(path, "string")
@@ -147,6 +166,37 @@ def _json_turns(v: Column, layout: Layout) -> Column:
     return F.filter(F.array(*turns), lambda t: t.isNotNull())
 
 
+_SCHEMA_TOKEN = re.compile(r"(?:`((?:[^`]|``)*)`|([A-Za-z_][A-Za-z0-9_]*)): |(OBJECT<|ARRAY<)|(>)|, |[^<>,`]+")
+
+
+def paths_of_schema(text: str | None) -> list[str]:
+    """All nested field paths (sorted) of a variant's schema as Spark prints
+    it: ``OBJECT<a: STRING, b: ARRAY<OBJECT<c: BIGINT>>>`` has ``a`` and
+    ``b[].c``."""
+    found, around, path = set(), [], ""
+    for m in _SCHEMA_TOKEN.finditer(text or ""):
+        name = m[2] if m[1] is None else m[1].replace("``", "`")
+        if name is not None:
+            path = f"{around[-1]}.{name}" if around[-1] else name
+        elif m[3]:
+            around.append(path)
+            path += "[]" if m[3] == "ARRAY<" else ""
+        elif m[4]:
+            around.pop()
+        elif m[0] != ", " and path:  # a type without fields
+            found.add(path)
+    return sorted(found)
+
+
+def variant_paths():
+    """A pandas UDF: field paths of schemas, each different one parsed once."""
+    @F.pandas_udf("array<string>")
+    def paths(schemas: pd.Series) -> pd.Series:
+        return schemas.map({s: paths_of_schema(s) for s in schemas.unique()})
+
+    return paths
+
+
 def turns_from_json(df: DataFrame, json_col: str = "record", layouts=LAYOUTS) -> DataFrame:
     """The columns of ``df`` in a struct ``row``, the record's ``fingerprint``,
     the name of its ``layout`` (null: none fits) and its ``turns``.
@@ -155,22 +205,10 @@ def turns_from_json(df: DataFrame, json_col: str = "record", layouts=LAYOUTS) ->
     is looked up in the table of layouts, and the layout's declarative
     mapping reads the turns.
     """
-    known = sorted({p for x in layouts for p in x.paths()})
     v = F.try_parse_json(F.col(f"`{json_col}`"))
-
-    def present(path: str) -> Column:
-        # a path occurs if the record's schema names it, whatever its value
-        first, _, field = path.partition("[].")
-        if not field:
-            return F.rlike(F.col("s"), F.lit(rf"^OBJECT<(.*, )?{re.escape(first)}: "))
-        return F.rlike(F.col("s"), F.lit(rf"^OBJECT<(.*, )?{re.escape(first)}: "
-                                         rf"ARRAY<OBJECT<([^<>]*, )?{re.escape(field)}: "))
-
     out = (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), v.alias("v"))
-           .withColumn("s", F.schema_of_variant("v")))
-    found = F.array_compact(F.array(*[F.when(present(p), F.lit(p)) for p in known]))
-    out = out.withColumn("paths", found) \
-        .withColumn("fingerprint", F.substring(F.sha2(F.array_join("paths", "\n"), 256), 1, 16))
+           .withColumn("paths", variant_paths()(F.schema_of_variant("v")))
+           .withColumn("fingerprint", F.substring(F.sha2(F.array_join("paths", "\n"), 256), 1, 16)))
     fits = [(F.col("fingerprint") == fingerprint(x.paths()), x) for x in layouts]
     fits += [(F.size(F.array_except(F.array(*[F.lit(p) for p in x.paths()]), F.col("paths"))) == 0, x)
              for x in layouts]
@@ -216,14 +254,22 @@ def format_chats(convs: DataFrame) -> DataFrame:
         (F.lit(len(START) + 1) + F.length(F.url_encode(t["role"]))).alias("head")))
 
     def spans(p: Column) -> Column:
-        ends = lambda i: F.aggregate(F.slice(p, 1, i + 1), F.lit(0),
-                                     lambda acc, x: acc + F.length(x["s"]))
-        at = F.transform(p, lambda x, i: F.struct(
-            x["loss"].alias("loss"),
-            (ends(i) - F.length(x["s"]) + x["head"]).alias("start"),
-            (ends(i) - F.lit(len(END))).alias("end")))
-        return F.transform(F.filter(at, lambda x: x["loss"]),
-                           lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+        # ends of the pieces: the sum of whole runs before, and within the run
+        size = F.transform(p, lambda x: F.length(x["s"]))
+        total = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
+        runs = F.sequence(F.lit(0), F.greatest(F.floor((F.size(p) - 1) / RUN), F.lit(0)).cast("int"))
+        both = lambda n: let(F.transform(runs, lambda b: total(F.slice(n, b * RUN + 1, RUN))), lambda sums: F.struct(
+            n.alias("n"), F.transform(sums, lambda x, b: total(F.slice(sums, 1, b))).alias("before")))
+
+        def ends(r: Column) -> Column:
+            return F.transform(p, lambda x, i: F.struct(
+                x["loss"].alias("loss"), x["head"].alias("head"), F.length(x["s"]).alias("len"),
+                (r["before"][F.floor(i / RUN).cast("int")]
+                 + total(F.slice(r["n"], i - i % RUN + 1, i % RUN + 1))).alias("end")))
+
+        at = let(let(size, both), ends)
+        return F.transform(F.filter(at, lambda x: x["loss"]), lambda x: F.struct(
+            (x["end"] - x["len"] + x["head"]).alias("start"), (x["end"] - F.lit(len(END))).alias("end")))
 
     return convs.select("conv_id", let(parts, lambda p: F.struct(
         F.array_join(F.transform(p, lambda x: x["s"]), "").alias("f"), spans(p).alias("l"))).alias("r")) \
@@ -245,8 +291,13 @@ def read_back(formatted: Column) -> Column:
 
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda x: unescape(
-        F.substr(formatted, x["start"] + 1, x["end"] - x["start"]))), "")
+    # four bytes a code point, so that a span is found by its offset; the mark
+    # in front keeps a decoder from taking a text's own for one
+    def pieces(wide: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: unescape(F.decode(F.concat(
+            F.unhex(F.lit("0000FEFF")), F.substr(wide, 4 * x["start"] + 1, 4 * (x["end"] - x["start"]))), "UTF-32"))), "")
+
+    return let(F.encode(formatted, "UTF-32"), pieces)
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -215,3 +215,56 @@ def test_mixing_deals_seats_by_highest_quotients(spark):
 
 def test_digest_helpers():
     assert sha("") == sha(b"") and low_words("A\x0bbÉ") == ["a", "bÉ"]
+
+
+def test_schema_paths_of_records(spark):
+    records = ['{"a b":1,"c:d":{"x`y":[1,2]},"é":null,"1x":[[{"q":1.5}]],"e":{},"<z, ":true}', "no json", None, "[1]",
+               '{"messages":[{"role":"u","content":[{"type":"text","text":"t"}]}]}']
+    df = spark.createDataFrame([(x,) for x in records], "r string")
+    got = [x.p for x in df.select(chat.variant_paths()(F.schema_of_variant(F.try_parse_json("r"))).alias("p")).collect()]
+    assert got == [["1x[][].q", "<z, ", "a b", "c:d.x`y[]", "é"], [], [], ["[]"],
+                   ["messages[].content[].text", "messages[].content[].type", "messages[].role"]]
+
+
+def test_nested_fields_and_parts_choose_the_layout(spark):
+    records = [
+        ('{"meta":{"a":1,"prompt":"x","completion":"y"}}', None, []),
+        ('{"prompt":"p","completion":"c","meta":{"messages":[{"role":"x"}]}}', "prompt_completion",
+         [("user", "p"), ("assistant", "c")]),
+        ('{"messages":[{"role":"user","content":[{"type":"text","text":"hi"},{"type":"image_url","url":"u"},'
+         '{"type":"text","text":" you"}]},{"role":"gpt","content":"plain"}]}', "messages",
+         [("user", "hi you"), ("assistant", "plain")]),
+        ('{"messages":[{"role":"user","content":[{"type":"text","text":"only"}, {"type":"text","text":null}]}]}',
+         "message_parts", [("user", "only")]),
+        ('{"messages":[{"role":"user","content":["a","b"]},{"role":null,"content":null}]}', None, []),
+        ('{"messages":[]}', None, []),
+    ]
+    df = spark.createDataFrame([(i, r) for i, (r, _, _) in enumerate(records)], "id int, record string")
+    got = sorted(chat.turns_from_json(df).collect(), key=lambda r: r.row.id)
+    assert [(r.layout, [tuple(t) for t in r.turns]) for r in got] == [(name, turns) for _, name, turns in records]
+
+
+def test_a_conversation_of_many_turns(spark):
+    import hashlib
+    import time
+
+    n = 100_000
+    text = F.concat(F.lit("﻿hé 😀 "), F.col("id").cast("string"), F.lit(" <|im_end|> \\ words"))
+    rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), text.alias("text"),
+                                 F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"))
+    begin = time.time()
+    chats = chat.format_chats(chat.canonical_turns(rows))
+    r = chats.select(F.size(chat.read_back(F.col("formatted"))).alias("n"),
+                     F.sha2(chat.loss_text(F.col("formatted"), F.col("loss_spans")), 256).alias("loss")).first()
+    want = "".join(f"﻿hé 😀 {i} <|im_end|> \\ words" for i in range(1, n, 2))
+    assert (r.n, r.loss) == (n, hashlib.sha256(want.encode()).hexdigest())
+    assert time.time() - begin < 60
+
+
+def test_offsets_of_runs(spark, monkeypatch):
+    monkeypatch.setattr(chat, "RUN", 3)
+    for n in (0, 1, 2, 3, 4, 9, 10):
+        turns = [("assistant" if i % 3 else "user", "x" * i + "é") for i in range(n)]
+        df = spark.createDataFrame([(1, turns)], f"conv_id int, turns {chat.TURNS}")
+        r = chat.format_chats(df).first()
+        assert [r.formatted[s.start:s.end] for s in r.loss_spans] == [t for role, t in turns if role == "assistant"]
