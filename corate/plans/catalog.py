@@ -45,6 +45,7 @@ N_VOTE_EVAL = 10      # recommendations per user, user-kNN evaluation
 N_PREDICT = 10        # predicted items per user, item-based evaluation
 N_ACTIVE = 25         # most active users held out / queried
 N_HOLDOUT = 10        # held-out ratings per test user
+N_HEAVY_K = 20        # neighbours per item where accounts rate everything
 N_SMALL = 25          # baskets with the fewest items that are queried
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -666,6 +667,29 @@ def q_basket_item_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     return item_neighbours(_baskets(spark, sf), "cosine", k=K_ITEM, fill=True)
 
 
+WITH_BOT = """ratings AS (
+  SELECT o_custkey AS user_id, l_partkey AS item_id,
+         max(CAST((CAST(l_quantity AS INTEGER) - 1) % 5 + 1 AS DOUBLE)) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey
+  UNION ALL
+  SELECT DISTINCT -1 - l_partkey % 3, l_partkey, 1.0 FROM lineitem)"""
+
+
+@register("item_cosine_topk_heavy_users", f"""WITH {WITH_BOT},
+{_cosine_sims('ratings')},
+{_neighbours(N_HEAVY_K)}
+SELECT item_id, neighbour_id, sim, rank FROM nb""")
+def q_item_cosine_topk_heavy_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Three accounts that rate a third of all items each with 1: their
+    pairs are formed only where they can enter a list."""
+    r = order_ratings(spark, sf)
+    items = load_table(spark, sf, "lineitem").select(F.col("l_partkey").alias(ITEM)).distinct()
+    bots = items.select((F.lit(-1) - F.col(ITEM) % 3).cast("bigint").alias(USER), ITEM, F.lit(1.0).alias(RATING))
+    lists = materialize(r.unionByName(bots), "ratings")
+    # three accounts of equal size: heavy is what exceeds half of one
+    return item_neighbours(lists, "cosine", k=N_HEAVY_K, fill=True, heavy_items=items.count() // 6)
+
+
 @register("basket_agreement_knn", f"""WITH {BASKETS}, {SMALLEST},
 {_agreement_knn('ratings', 'active')}
 SELECT query_user, user_id, similarity, rank FROM knn""")

@@ -436,3 +436,34 @@ def test_seen_items_can_be_left_out_and_weights_made_absolute(spark):
 def test_a_rating_outside_the_levels_fails_the_histogram(spark):
     with pytest.raises(Exception, match="rating outside the levels: 7"):
         clean.rating_histogram(ratings_df(spark, [(1, 2, 7.0)])).collect()
+
+
+@pytest.mark.parametrize("k, hot_rating", [(3, 1), (3, 5), (12, 2)])
+def test_pruned_lists_equal_full_lists_with_fewer_pairs(spark, k, hot_rating):
+    """Accounts that rate (nearly) everything, popular and rare items."""
+    rnd = random.Random(k + hot_rating)
+    data = {}
+    for u in range(250):
+        for i in rnd.sample(range(40), rnd.randint(1, 6)):
+            data[u, 100 + i] = rnd.randint(1, 5)
+    for i in range(70):  # items 40 to 69 have heavy raters only
+        data[900, 100 + i] = hot_rating
+        if i % 2:
+            data[901, 100 + i] = rnd.randint(1, hot_rating)
+    r = ratings_df(spark, [(u, i, v) for (u, i), v in data.items()]).repartition(5)
+    for fill in (False, True):
+        counts = {}
+        full = sorted(map(tuple, item_neighbours(r, "cosine", k=k, fill=fill).collect()))
+        got = sorted(map(tuple, item_neighbours(r, "cosine", k=k, fill=fill, heavy_items=20, block_rows=50, counts=counts).collect()))
+        assert got == full
+        assert counts["heavy_pairs"] == 70 * 69 + 35 * 34
+        assert counts["heavy_pairs_formed"] < counts["heavy_pairs"]
+    if hot_rating == 1:
+        assert counts["heavy_pairs_formed"] < counts["heavy_pairs"] / 2
+
+
+def test_negative_ratings_are_not_pruned(spark):
+    data = [(u, i, (u * i) % 7 - 3) for u in range(30) for i in range(12)]
+    r = ratings_df(spark, data)
+    assert sorted(map(tuple, item_neighbours(r, "cosine", k=4, heavy_items=5).collect())) == \
+        sorted(map(tuple, item_neighbours(r, "cosine", k=4).collect()))
