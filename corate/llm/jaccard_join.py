@@ -57,7 +57,7 @@ SHINGLE = 5
 #: Segments per shingle of a band's largest set, for sets below 32, below 256
 #: and above: more segments cost more keys, but leave a set that shares a long
 #: passage with many others enough keys of its own to need no probe.
-SEGMENTS = ((32, 2.0), (256, 1.2), (None, 0.7))
+SEGMENTS = ((32, 2.0), (256, 1.0), (None, 0.5))
 #: One segment in so many is double (all of them for sets below 32).
 DOUBLE_EVERY = 25
 #: Probed keys with more holders are compared in blocks of so many sets.
