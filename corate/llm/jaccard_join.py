@@ -16,7 +16,8 @@ returned. The candidate search loses no link:
   connected already, costs nothing. If a set's free segments reach H + 1 it
   has no unknown partner; otherwise it probes its cheapest (rarest) keys
   until H + 1 is reached, and its doubles if still needed.
-* Pairs are verified exactly on their texts' shingles.
+* Pairs are verified exactly on their texts' shingles, after an exact bound
+  from 1024 parities of each set has dropped most of the others.
 * A probed key with more than ``HOT_KEY`` holders that are still apart (near
   copies just below the threshold, a passage that makes up most of its
   texts) would give each such pair many times. Its holders are compared in
@@ -65,6 +66,8 @@ HOT_KEY = 64
 BLOCK = 512
 #: Sets of a block have about so many shingles at most (the largest set more).
 BLOCK_SHINGLES = 1 << 19
+#: Bits of a set's parities (128 bytes); a power of two.
+PARITY_BITS = 1024
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
 
 
@@ -124,16 +127,36 @@ def _batch(schema: list[tuple[str, pa.Array]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x for _, x in schema], [n for n, _ in schema])
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """The parity of the shingles in each of ``PARITY_BITS`` classes, as longs.
+
+    A shingle that only one of two sets has changes one bit, so at least as
+    many shingles differ as bits do.
+    """
+    odd = np.bincount((mix(s, 9) >> U(32)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) without those whose parities differ in more bits than
+    the shingles of linked sets do: 7 times that exceeds both sizes."""
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b")
+
+
 def _summaries(segments):
     def run(batches):
         for b in batches:
-            n, node, value = [], [], []
+            n, node, value, parity = [], [], [], []
             for _, s in shingle_sets(b.column(1), SHINGLE):
                 n.append(len(s))
                 node.append(node_of(s) if len(s) else None)
                 value.append(set_value(s, segments) if len(s) else 0)
+                parity.append(parities(s))
             yield _batch([("doc_id", b.column(0)), ("version", b.column(2)), ("n", pa.array(n, pa.int64())),
-                          ("node", pa.array(node, pa.int64())), ("value", pa.array(value, pa.int64()))])
+                          ("node", pa.array(node, pa.int64())), ("value", pa.array(value, pa.int64())),
+                          ("parity", pa.array(parity, pa.list_(pa.int64())))])
     return run
 
 
@@ -222,7 +245,7 @@ def _texts_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough."""
-    pairs = materialize(pairs, "candidates")
+    pairs = materialize(_may_link(pairs, classes), "candidates")
     ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-ends")
     texts = materialize(_texts_of(docs, classes, ends), "candidate-texts")
 
@@ -256,21 +279,21 @@ def _merged(members: DataFrame, centers: DataFrame) -> DataFrame:
     heads = own.groupBy("node").agg(F.max("center").alias("head")).withColumnRenamed("node", "center")
     heads = materialize(heads, "group-heads")
     again = heads.select(F.col("center").alias("head"), F.col("head").alias("top"))
-    heads = heads.join(again, "head").select("center", F.col("top").alias("head"))  # a head's head
-    single = rows.select("center", "node", "root", "n").distinct().join(heads, "center")
+    # a head's head; small tables are written, so that Spark sees their size
+    # and need not deal the members of a large group by its name
+    heads = materialize(heads.join(again, "head").select("center", F.col("top").alias("head")), "group-heads")
+    single = materialize(rows.select("center", "node", "root", "n").distinct().join(heads, "center"), "group-members")
     pairs = lambda c: F.sum(F.col(c).cast("double") * F.col(c))
     apart = single.groupBy("center", "head").agg(F.count(F.lit(1)).alias("c")).groupBy("head").agg(pairs("c").alias("apart"))
-    joined = single.select("head", "node").distinct().groupBy("head").agg(pow2(F.count(F.lit(1))).alias("joined"))
-    merge = apart.join(joined, "head").select("head", (F.col("joined") <= F.col("apart")).alias("merge"))
+    joined = single.select("head", "node").distinct().groupBy("head").agg(F.count(F.lit(1)).cast("double").alias("c")) \
+        .select("head", (F.col("c") * F.col("c")).alias("joined"))
+    merge = materialize(apart.join(joined, "head")
+                        .select("head", (F.col("joined") <= F.col("apart")).alias("merge")), "merged-heads")
     return (single.join(merge, "head")
             .select(F.when(F.col("merge"), F.col("head")).otherwise(F.col("center")).alias("group"), "node", "root", "n")
             .distinct())
 
 
-def pow2(c):
-    return c.cast("double") * c
-
-
 def _possible(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``rows(group, node, root, n)`` of large groups without the sets that
     cannot link within their group.
@@ -454,9 +477,10 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
     docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"),
                        F.xxhash64(text).alias("version"))
     rows = materialize(docs.mapInArrow(
-        _summaries(segments), "doc_id bigint, version bigint, n bigint, node bigint, value bigint"), "shingle-sets")
+        _summaries(segments), "doc_id bigint, version bigint, n bigint, node bigint, value bigint, parity array<bigint>"),
+        "shingle-sets")
     classes = materialize(rows.where("node IS NOT NULL").groupBy("node")
-                          .agg(F.first("n").alias("n"), F.first("value").alias("value"),
+                          .agg(F.first("n").alias("n"), F.first("value").alias("value"), F.first("parity").alias("parity"),
                                F.min("doc_id").alias("least"), F.min("version").alias("version")), "classes")
     keys = docs.select("text").mapInArrow(_all_keys(segments), "key bigint, node bigint")
     group = F.shiftright("key", 2)
@@ -532,7 +556,7 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
         .withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(linked.join(least, "root").select("node", "root", "component_id"), "named-classes")
-    return rows.drop("value").join(named, "node", "left").select(
+    return rows.drop("value", "parity").join(named, "node", "left").select(
         "doc_id", "version", "n", "node", "root", "component_id")
 
 

@@ -261,9 +261,3 @@ FROM c
 
 
 SQL = _sql()
-
-
-def report(p) -> None:
-    """Deviation of each source (used by hand)."""
-    g = p.groupby("source_size").agg(target=("target", "first"), taken=("taken", "sum"))
-    print((g.taken - g.target).abs().max(), g.head(8))

@@ -93,12 +93,12 @@ def compile_rules(rules: DataFrame) -> DataFrame:
 def expressions(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
     """The array of expression digests of a URL, for ``shapes`` of (host
     labels, path characters); shapes larger than the URL give none."""
-    def one(labels: int, chars: int) -> Column:
-        suffix = F.substring_index(host, ".", -labels)
-        text = F.concat(suffix, F.lit(" "), F.substring(path, 1, chars))
-        return F.when((_labels(host) >= labels) & (F.length(path) >= chars), _digest(text))
-
-    return F.array_compact(F.array(*[one(*s) for s in shapes])) if shapes else F.array().cast("array<string>")
+    if not shapes:
+        return F.array().cast("array<string>")
+    sizes = F.array(*[F.struct(F.lit(a).alias("labels"), F.lit(b).alias("chars")) for a, b in shapes])  # a constant
+    fits = F.filter(sizes, lambda s: (_labels(host) >= s["labels"]) & (F.length(path) >= s["chars"]))
+    suffix = lambda s: F.call_function("substring_index", host, F.lit("."), -s["labels"])
+    return F.transform(fits, lambda s: _digest(F.concat(suffix(s), F.lit(" "), F.substr(path, F.lit(1), s["chars"]))))
 
 
 def _hits(urls: DataFrame, rules: DataFrame, max_broadcast_bytes: int) -> DataFrame:

@@ -250,6 +250,18 @@ def test_forests_connect_what_the_pairs_do():
     assert {k: v for k, v in whole.items() if k in kept} == kept and len(keep) < 60
 
 
+def test_parities_bound_the_differences():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 100, 3000):
+        base = np.unique(rng.integers(0, 2**62, n).astype(np.uint64))
+        for cut in (0, 1, 7, n // 10):
+            other = np.unique(np.r_[base[cut:], rng.integers(0, 2**62, cut).astype(np.uint64)])
+            a, b = jaccard_join.parities(base), jaccard_join.parities(other)
+            assert len(a) == 16
+            bits = sum(int(x).bit_count() for x in (a ^ b).view(np.uint64))
+            assert bits <= len(np.setxor1d(base, other)) and (bits > 0 or cut == 0 or n < 10)
+
+
 def test_links_between_two_lists():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2**62, 40).astype(np.uint64)
