@@ -6,9 +6,9 @@ single-partition window and without sending keys to the driver:
 1. range-partition the distinct keys and sort inside each partition, so
    partition p holds the p-th slice of the order;
 2. ``monotonically_increasing_id()`` gives (partition << 33) + position;
-3. the rows are checkpointed (to ``spark.checkpoint.dir``), which freezes
-   that numbering: range bounds come from sampling and a recomputation
-   could move rows between partitions;
+3. the rows are written (in the run's folder under ``spark.checkpoint.dir``),
+   which freezes that numbering: range bounds come from sampling and a
+   recomputation could move rows between partitions;
 4. per-partition counts (one row per partition, a bounded table) give
    each partition's offset, which is broadcast and added.
 """
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.session import ensure_checkpoint_dir
+from corate.session import materialize
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -32,14 +32,11 @@ def dense_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column
     distinct keys for the numbering to be unique."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = list(order) if order else [F.col(k).asc() for k in keys]
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.select(*keys).dropna().distinct()
-              .repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.select(*keys).dropna().distinct()
+                         .repartitionByRange(n, *order)
+                         .sortWithinPartitions(*order)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "dense-index")
     part = F.shiftright(F.col("_mid"), 33)
     counts = ranged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
