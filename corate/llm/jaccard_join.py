@@ -68,12 +68,18 @@ BLOCK = 512
 BLOCK_SHINGLES = 1 << 19
 #: Bits of a set's parities (128 bytes); a power of two.
 PARITY_BITS = 1024
+#: Sets hashed together: about so many shingles, and at most so many sets.
+RUN_SHINGLES, RUN_SETS = 1 << 17, 512
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
 
 
-def node_of(s: np.ndarray) -> int:
-    """The 64-bit name of a set of shingle hashes, as a signed number."""
-    return int(signed(mix(np.array([mix(s, 5).sum(dtype=U) + U(len(s))], U), 6))[0])
+def nodes_of(flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The 64-bit names of non-empty sets, as signed numbers. ``flat`` holds
+    the sets' shingles one after another, ``n`` their sizes."""
+    if not len(n):
+        return np.zeros(0, np.int64)
+    total = np.add.reduceat(mix(flat, 5), np.cumsum(n) - n)
+    return signed(mix(total + n.astype(U), 6))
 
 
 def _scheme(k: int, segments) -> tuple[int, int]:
@@ -87,54 +93,111 @@ def most_different(n: int) -> int:
     return (n + 4 * n // 3) // 7
 
 
+def _cells(flat: np.ndarray, n: np.ndarray, which: np.ndarray, k: int, segments):
+    """Band ``k``'s segments of the sets ``which``: the shingles concerned
+    (a mask of ``flat``), the cell of each, the cells' sizes, and which cells
+    are double. Cell i * m + j is segment j of the i-th of these sets."""
+    m, doubles = _scheme(k, segments)
+    at = np.full(len(n), -1)
+    at[which] = np.arange(len(which))
+    at = np.repeat(at, n)
+    mine = at >= 0
+    cell = at[mine] * m + ((mix(flat[mine], 11 + k) >> U(32)) * U(m) >> U(32)).astype(np.int64)
+    size = np.bincount(cell, minlength=len(which) * m)
+    double = (np.arange(len(size)) % m < doubles) & (size >= 2)
+    return m, mine, cell, size, double
+
+
+def _band(n: np.ndarray) -> np.ndarray:
+    return np.frexp(n.astype(float))[1] - 1
+
+
+def keys_of(flat: np.ndarray, n: np.ndarray, segments=SEGMENTS) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of non-empty sets, and for each key the place of its set."""
+    band = _band(n)
+    below = (band > 0) & (-(-3 * n // 4) < (1 << band))
+    part = mix(flat, 12)
+    low, high = part & U(0xFFFFFFFF), part >> U(32)
+    keys, owners = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    for k in np.unique(np.r_[band, band[below] - 1]).tolist():
+        which = np.flatnonzero((band == k) | (below & (band == k + 1)))
+        m, mine, cell, size, double = _cells(flat, n, which, k, segments)
+        # sums of halves are exact as doubles: a cell holds few shingles
+        total = np.bincount(cell, low[mine], len(size)).astype(U) \
+            + (np.bincount(cell, high[mine], len(size)).astype(U) << U(32))
+        name = lambda c, x: mix(x + (c % m).astype(U) * U(0x9FB21C651E98DF25), 100 + k) & ~U(3)  # noqa: E731, B023
+        home = band[which] == k
+        used = np.flatnonzero(size)
+        kind = np.where(double[used], U(_DOUBLE), U(_SINGLE))
+        rest = double[cell]
+        gone, of = cell[rest], used // m
+        keys += [name(used, total[used]) | np.where(home[of], kind, U(_PREV)),
+                 name(gone, total[gone] - part[mine][rest]) | np.where(home[gone // m], U(_DOUBLE), U(_PREV))]
+        owners += [which[of], which[gone // m]]
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def values_of(flat: np.ndarray, n: np.ndarray, segments=SEGMENTS) -> np.ndarray:
+    """The values that the own keys of each of some non-empty sets add up to."""
+    band, out = _band(n), np.zeros(len(n), np.int64)
+    for k in np.unique(band).tolist():
+        which = np.flatnonzero(band == k)
+        m, _, _, size, double = _cells(flat, n, which, k, segments)
+        out[which] = ((size > 0) + double.astype(np.int64)).reshape(len(which), m).sum(axis=1)
+    return out
+
+
+def _runs(column):
+    """The shingle sets of a column, in lists of bounded length (a very large
+    set is a list by itself or the end of one)."""
+    sets, held = [], 0
+    for _, s in shingle_sets(column, SHINGLE):
+        sets.append(s)
+        held += len(s)
+        if held >= RUN_SHINGLES or len(sets) == RUN_SETS:
+            yield sets
+            sets, held = [], 0
+    if sets:
+        yield sets
+
+
+def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, U), *sets]), np.array([len(s) for s in sets], np.int64)
+
+
+# the same of a single set
+
+def node_of(s: np.ndarray) -> int:
+    return int(nodes_of(*_flat([s]))[0])
+
+
 def set_keys(s: np.ndarray, segments=SEGMENTS) -> tuple[np.ndarray, int]:
     """The keys of a non-empty set, and the values its own keys add up to."""
-    n = len(s)
-    band = n.bit_length() - 1
-    bands = [band] + [band - 1] * (band > 0 and -(-3 * n // 4) < (1 << band))
-    keys, value = [], 0
-    for k in bands:
-        m, doubles = _scheme(k, segments)
-        seg = ((mix(s, 11 + k) >> U(32)) * U(m) >> U(32)).astype(np.int64)
-        order = np.argsort(seg, kind="stable")
-        seg, part = seg[order], mix(s, 12)[order]
-        first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
-        size = np.diff(np.r_[first, n])
-        ids, total = seg[first], np.add.reduceat(part, first)
-        double = (ids < doubles) & (size >= 2)
-        own = k == band
-        name = lambda i, t: mix(t + i.astype(U) * U(0x9FB21C651E98DF25), 100 + k) & ~U(3)  # noqa: E731, B023
-        exact = name(ids, total)
-        rest = np.repeat(double, size)
-        without = name(seg[rest], np.repeat(total, size)[rest] - part[rest])
-        if own:
-            exact = exact | np.where(double, U(_DOUBLE), U(_SINGLE))
-            without = without | U(_DOUBLE)
-            value = int((~double).sum() + 2 * double.sum())
-        keys += [exact, without]
-    return np.concatenate(keys), value
+    return keys_of(*_flat([s]), segments)[0], set_value(s, segments)
 
 
 def set_value(s: np.ndarray, segments=SEGMENTS) -> int:
-    """The values that a non-empty set's own keys add up to."""
-    k = len(s).bit_length() - 1
-    m, doubles = _scheme(k, segments)
-    size = np.bincount(((mix(s, 11 + k) >> U(32)) * U(m) >> U(32)).astype(np.int64), minlength=doubles)
-    return int(np.count_nonzero(size) + np.count_nonzero(size[:doubles] >= 2))
+    return int(values_of(*_flat([s]), segments)[0])
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    return parities_of(*_flat([s]))[0]
 
 
 def _batch(schema: list[tuple[str, pa.Array]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x for _, x in schema], [n for n, _ in schema])
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """The parity of the shingles in each of ``PARITY_BITS`` classes, as longs.
+def parities_of(flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each set the parity of its shingles in each of ``PARITY_BITS``
+    classes, as a row of longs.
 
     A shingle that only one of two sets has changes one bit, so at least as
     many shingles differ as bits do.
     """
-    odd = np.bincount((mix(s, 9) >> U(32)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    cell = np.repeat(np.arange(len(n)) * PARITY_BITS, n) + (mix(flat, 9) >> U(32)).astype(np.int64) % PARITY_BITS
+    odd = np.bincount(cell, minlength=len(n) * PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(n), -1)
 
 
 def _may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -148,15 +211,19 @@ def _may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _summaries(segments):
     def run(batches):
         for b in batches:
-            n, node, value, parity = [], [], [], []
-            for _, s in shingle_sets(b.column(1), SHINGLE):
-                n.append(len(s))
-                node.append(node_of(s) if len(s) else None)
-                value.append(set_value(s, segments) if len(s) else 0)
-                parity.append(parities(s))
-            yield _batch([("doc_id", b.column(0)), ("version", b.column(2)), ("n", pa.array(n, pa.int64())),
-                          ("node", pa.array(node, pa.int64())), ("value", pa.array(value, pa.int64())),
-                          ("parity", pa.array(parity, pa.list_(pa.int64())))])
+            row = 0
+            for sets in _runs(b.column(1)):
+                flat, n = _flat(sets)
+                full = n > 0
+                node, value = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+                node[full], value[full] = nodes_of(flat, n[full]), values_of(flat, n[full], segments)
+                parity = parities_of(flat, n)
+                ends = np.arange(len(n) + 1, dtype=np.int32) * parity.shape[1]
+                part = b.slice(row, len(n))
+                row += len(n)
+                yield _batch([("doc_id", part.column(0)), ("version", part.column(2)), ("n", pa.array(n)),
+                              ("node", pa.array(node, mask=~full)), ("value", pa.array(value)),
+                              ("parity", pa.ListArray.from_arrays(pa.array(ends), pa.array(parity.ravel())))])
     return run
 
 
@@ -164,22 +231,17 @@ def _all_keys(segments):
     def run(batches):
         seen: set[int] = set()  # copies within a task give their keys once
         for b in batches:
-            keys, nodes, held = [], [], 0
-            for _, s in shingle_sets(b.column(0), SHINGLE):
-                if not len(s) or (node := node_of(s)) in seen:
-                    continue
-                seen.add(node)
-                got, _ = set_keys(s, segments)
-                keys.append(got)
-                nodes.append(np.full(len(got), node, np.int64))
-                held += len(got)
-                if held > 200_000:
-                    yield _batch([("key", pa.array(signed(np.concatenate(keys)))),
-                                  ("node", pa.array(np.concatenate(nodes)))])
-                    keys, nodes, held = [], [], 0
-            if keys:
-                yield _batch([("key", pa.array(signed(np.concatenate(keys)))),
-                              ("node", pa.array(np.concatenate(nodes)))])
+            for sets in _runs(b.column(0)):
+                sets = [s for s in sets if len(s)]
+                new = []
+                for node, s in zip(nodes_of(*_flat(sets)).tolist(), sets, strict=True):
+                    if node not in seen:
+                        seen.add(node)
+                        new.append(s)
+                if new:
+                    flat, n = _flat(new)
+                    keys, owner = keys_of(flat, n, segments)
+                    yield _batch([("key", pa.array(signed(keys))), ("node", pa.array(nodes_of(flat, n)[owner]))])
     return run
 
 

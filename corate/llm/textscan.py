@@ -97,14 +97,17 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     without words has none."""
     for first, data, offsets in chunks(column):
         words, at = word_hashes(data, offsets)
-        for i in range(len(offsets) - 1):
-            w = words[at[i]:at[i + 1]]
-            if len(w) >= k:
-                yield first + i, np.unique(windows_hash(w, k))
-            elif len(w):
-                yield first + i, windows_hash(w, len(w)) ^ U(len(w))
+        # windows of the whole chunk; those across two texts are never read
+        windows = windows_hash(words, k) if len(words) >= k else words[:0]
+        for i, (begin, end) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+            if end - begin >= k:
+                h = np.sort(windows[begin:end - k + 1])
+                new = h[1:] != h[:-1]
+                yield first + i, h if new.all() else h[np.append(True, new)]
+            elif end > begin:
+                yield first + i, windows_hash(words[begin:end], end - begin) ^ U(end - begin)
             else:
-                yield first + i, w
+                yield first + i, words[begin:end]
 
 
 def signed(x: np.ndarray) -> np.ndarray:
