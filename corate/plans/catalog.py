@@ -25,6 +25,7 @@ from corate.operators import clean, evaluate, indexing, pair_similarity as ps
 from corate.operators.item_similarity import item_neighbours, item_stats
 from corate.operators.recommend import item_based_recommend, vote_recommend
 from corate.operators.split import active_users, holdout, holdout_users
+from corate.operators.topk import top_k_list, unfold_lists
 from corate.operators.user_knn import QUERY, agreement_knn, l1_knn, user_vectors
 from corate.sinks.stores import read_bucketed, write_bucketed
 from corate.sinks.text import index_lines, recommendation_lines, triple_lines
@@ -36,6 +37,7 @@ from corate.session import materialize, scratch_path
 from corate.sinks.text import write_lines, write_parquet
 from corate.sources.text import (parse_index, parse_recommendation_lines, parse_triples, read_index,
                                  read_recommendation_lines, read_triples, read_user_list, triple_line_counts)
+from corate.streaming.topk import read_top_k, stream_top_k
 
 # Fixed values of the reference jobs.
 K_ITEM = 100          # neighbours kept per item
@@ -45,6 +47,7 @@ N_VOTE_EVAL = 10      # recommendations per user, user-kNN evaluation
 N_PREDICT = 10        # predicted items per user, item-based evaluation
 N_ACTIVE = 25         # most active users held out / queried
 N_HOLDOUT = 10        # held-out ratings per test user
+N_BEST = 10           # best raters or order lines kept per item
 N_HEAVY_K = 20        # neighbours per item where accounts rate everything
 N_SMALL = 25          # baskets with the fewest items that are queried
 
@@ -542,6 +545,41 @@ def _recommendation_lines(spark, sf, ratings, users, train, n) -> DataFrame:
     return recommendation_lines(named, users=indexing.decode(users, cust, USER, "key"))
 
 
+# --------------------------------------------------------------------------
+# Top-k lists as a mergeable aggregate, in a batch and on a stream
+
+@register("item_top_raters", f"""WITH {RATINGS},
+ranked AS (
+  SELECT item_id, user_id, rating, count(*) OVER (PARTITION BY item_id) AS n,
+         avg(rating) OVER (PARTITION BY item_id) AS mean,
+         row_number() OVER (PARTITION BY item_id ORDER BY rating DESC, user_id ASC) AS rank
+  FROM ratings)
+SELECT item_id, n, mean, rating, user_id, rank FROM ranked WHERE rank <= {N_BEST}""")
+def q_item_top_raters(spark: SparkSession, sf: str) -> DataFrame:
+    """The best raters of each item beside other aggregates of the group."""
+    r = order_ratings(spark, sf)
+    best = top_k_list(r, [(RATING, "desc"), (USER, "asc")], N_BEST)
+    lists = r.groupBy(ITEM).agg(F.count(F.lit(1)).alias("n"), F.avg(RATING).alias("mean"), best.alias("top"))
+    return unfold_lists(lists, [ITEM, "n", "mean"])
+
+
+@register("stream_item_top_lines", f"""SELECT item_id, quantity, order_id, line, rank FROM (
+  SELECT l_partkey AS item_id, l_quantity AS quantity, l_orderkey AS order_id, l_linenumber AS line,
+         row_number() OVER (PARTITION BY l_partkey
+                            ORDER BY l_quantity DESC, l_orderkey ASC, l_linenumber ASC) AS rank
+  FROM lineitem) t WHERE rank <= {N_BEST}""")
+def q_stream_item_top_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest order lines of each item, kept by a stream over lineitem."""
+    # a stream reads folders or patterns: the pattern also fits a table of one file
+    lines = spark.readStream.schema(load_table(spark, sf, "lineitem").schema).parquet(f"{sf.rstrip('/')}/lineitem.parque[t]")
+    lines = lines.select(F.col("l_partkey").alias(ITEM), F.col("l_quantity").alias("quantity"),
+                         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"))
+    path = scratch_path(spark, "top-lines")
+    order = [("quantity", "desc"), ("order_id", "asc"), ("line", "asc")]
+    stream_top_k(lines, [ITEM], order, N_BEST, path, f"{path}-state", once=True).awaitTermination()
+    return read_top_k(spark, path, [ITEM])
+
+
 # --------------------------------------------------------------------------
 # Holdout split
 
