@@ -33,8 +33,10 @@ looked at again, by the probes above. Sets so unevenly hashed that even all
 values don't reach H + 1 are joined through all their shingles instead.
 
 Nodes are classes of equal sets, named by a 64-bit hash of the set; copies
-are dropped before the shuffle where a task sees them. All hashes are
-64-bit: below 10^9 classes a collision of two class names is unlikely (3 %).
+are dropped before the shuffle where a task sees them. A second hash of each
+set tells names that different sets share: such sets take the second hash as
+their name, so two sets are one class only if 128 bits agree. Texts are found
+by 128 bits too. Equal keys of different segments only cost a verification.
 
 Defined results: a null or empty text, or one without words, has an empty
 set, links with nothing and is its own component. Rows sharing a doc_id are
@@ -44,6 +46,8 @@ it has none). An empty table gives an empty table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -73,13 +77,36 @@ RUN_SHINGLES, RUN_SETS = 1 << 17, 512
 _PREV, _SINGLE, _DOUBLE = 0, 1, 2  # kinds of keys, in their two lowest bits
 
 
-def nodes_of(flat: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The 64-bit names of non-empty sets, as signed numbers. ``flat`` holds
-    the sets' shingles one after another, ``n`` their sizes."""
+def _hashes(flat: np.ndarray, n: np.ndarray, seed: int) -> np.ndarray:
     if not len(n):
         return np.zeros(0, np.int64)
-    total = np.add.reduceat(mix(flat, 5), np.cumsum(n) - n)
-    return signed(mix(total + n.astype(U), 6))
+    total = np.add.reduceat(mix(flat, seed), np.cumsum(n) - n)
+    return signed(mix(total + n.astype(U), seed + 1))
+
+
+@dataclass(frozen=True)
+class Names:
+    """How sets are named: by the upper ``bits`` of a hash, or by a second
+    hash where different sets have the same first one (``shared``, sorted;
+    about n^2 / 2^65 of n sets)."""
+
+    shared: tuple[int, ...] = ()
+    bits: int = 64
+
+    def first(self, flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return _hashes(flat, n, 5) >> (64 - self.bits)
+
+    def second(self, flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return _hashes(flat, n, 7)
+
+    def of(self, flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The names of non-empty sets, as signed numbers. ``flat`` holds the
+        sets' shingles one after another, ``n`` their sizes."""
+        name = self.first(flat, n)
+        if self.shared:
+            twice = np.isin(name, np.array(self.shared, np.int64))
+            name[twice] = self.second(flat, n)[twice]
+        return name
 
 
 def _scheme(k: int, segments) -> tuple[int, int]:
@@ -167,10 +194,6 @@ def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 # the same of a single set
 
-def node_of(s: np.ndarray) -> int:
-    return int(nodes_of(*_flat([s]))[0])
-
-
 def set_keys(s: np.ndarray, segments=SEGMENTS) -> tuple[np.ndarray, int]:
     """The keys of a non-empty set, and the values its own keys add up to."""
     return keys_of(*_flat([s]), segments)[0], set_value(s, segments)
@@ -208,40 +231,42 @@ def _may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b")
 
 
-def _summaries(segments):
+def _summaries(segments, names: Names):
     def run(batches):
         for b in batches:
             row = 0
             for sets in _runs(b.column(1)):
                 flat, n = _flat(sets)
                 full = n > 0
-                node, value = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
-                node[full], value[full] = nodes_of(flat, n[full]), values_of(flat, n[full], segments)
+                node, second, value = (np.zeros(len(n), np.int64) for _ in range(3))
+                node[full], second[full] = names.first(flat, n[full]), names.second(flat, n[full])
+                value[full] = values_of(flat, n[full], segments)
                 parity = parities_of(flat, n)
                 ends = np.arange(len(n) + 1, dtype=np.int32) * parity.shape[1]
                 part = b.slice(row, len(n))
                 row += len(n)
-                yield _batch([("doc_id", part.column(0)), ("version", part.column(2)), ("n", pa.array(n)),
-                              ("node", pa.array(node, mask=~full)), ("value", pa.array(value)),
+                yield _batch([("doc_id", part.column(0)), ("version", part.column(2)), ("again", part.column(3)),
+                              ("n", pa.array(n)), ("node", pa.array(node, mask=~full)),
+                              ("second", pa.array(second)), ("value", pa.array(value)),
                               ("parity", pa.ListArray.from_arrays(pa.array(ends), pa.array(parity.ravel())))])
     return run
 
 
-def _all_keys(segments):
+def _all_keys(segments, names: Names):
     def run(batches):
         seen: set[int] = set()  # copies within a task give their keys once
         for b in batches:
             for sets in _runs(b.column(0)):
                 sets = [s for s in sets if len(s)]
                 new = []
-                for node, s in zip(nodes_of(*_flat(sets)).tolist(), sets, strict=True):
+                for node, s in zip(names.of(*_flat(sets)).tolist(), sets, strict=True):
                     if node not in seen:
                         seen.add(node)
                         new.append(s)
                 if new:
                     flat, n = _flat(new)
                     keys, owner = keys_of(flat, n, segments)
-                    yield _batch([("key", pa.array(signed(keys))), ("node", pa.array(nodes_of(flat, n)[owner]))])
+                    yield _batch([("key", pa.array(signed(keys))), ("node", pa.array(names.of(flat, n)[owner]))])
     return run
 
 
@@ -283,26 +308,27 @@ def _shared(batches):
 def _texts_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(node, text)`` of each class in ``nodes``, one text per class.
 
-    A class is found by the hash of one of its texts. A fixed-size filter of
-    the wanted hashes drops most other texts where they are read; the join
-    that follows is exact.
+    A class is found by two hashes of one of its texts. A fixed-size filter
+    of the wanted first ones drops most other texts where they are read; the
+    join that follows compares both.
     """
-    wanted = materialize(nodes.join(classes.select("node", "version"), "node"), "wanted-texts")
+    wanted = materialize(nodes.join(classes.select("node", "version", "again"), "node"), "wanted-texts")
     bits = docs.sparkSession.sparkContext.broadcast(build_filter(wanted, "version"))
 
     def run(batches):
-        seen: set[int] = set()  # copies within a task go once
+        seen: set[tuple[int, int]] = set()  # copies within a task go once
         for b in batches:
-            version = b.column(0).to_numpy(zero_copy_only=False)
-            _, one = np.unique(version, return_index=True)
-            one = one[in_filter(bits.value, version[one].view(U))]
-            one = [i for i in one.tolist() if int(version[i]) not in seen]
-            seen.update(int(version[i]) for i in one)
+            version, again = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            one = []
+            for i in np.flatnonzero(in_filter(bits.value, version.view(U))).tolist():
+                if (name := (int(version[i]), int(again[i]))) not in seen:
+                    seen.add(name)
+                    one.append(i)
             if one:
                 yield b.take(pa.array(one))
 
-    texts = docs.select("version", "text").mapInArrow(run, "version bigint, text string")
-    return texts.join(wanted, "version").select("node", "text").dropDuplicates(["node"])
+    texts = docs.select("version", "again", "text").mapInArrow(run, "version bigint, again bigint, text string")
+    return texts.join(wanted, ["version", "again"]).select("node", "text").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -492,7 +518,7 @@ def _block_links(groups: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
     return rows.groupBy("group", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
-def _uneven_links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
+def _uneven_links(docs: DataFrame, classes: DataFrame, names: Names) -> DataFrame | None:
     """Links of the sets whose values don't reach H + 1, by all shingles."""
     uneven = classes.where(F.col("value") < F.floor((F.col("n") + F.floor(4 * F.col("n") / 3)) / 7) + 1)
     uneven = materialize(uneven.select("node"), "uneven")
@@ -506,7 +532,7 @@ def _uneven_links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
                     h = s if bits is None else s[in_filter(bits.value, s)]
                     if len(h):
                         yield _batch([("shingle", pa.array(signed(h))),
-                                      ("node", pa.array(np.full(len(h), node_of(s))))])
+                                      ("node", pa.array(np.full(len(h), names.of(*_flat([s]))[0])))])
         return run
 
     kinds = "shingle bigint, node bigint"
@@ -522,29 +548,45 @@ def _uneven_links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       segments=SEGMENTS) -> DataFrame:
+                       segments=SEGMENTS, name_bits: int = 64) -> DataFrame:
     """``(doc_id, n_shingles, class_id, component_id)`` per row of ``docs``:
     ``class_id`` names the row's set (null: empty), ``component_id`` is the
-    smallest doc_id reachable by links."""
-    return (_row_components(docs, id_col, text_col, segments)
+    smallest doc_id reachable by links. With fewer ``name_bits`` more sets
+    are named by their second hash."""
+    return (_row_components(docs, id_col, text_col, segments, Names(bits=name_bits))
             .select("doc_id", F.col("n").alias("n_shingles"), F.col("node").alias("class_id"),
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id")))
 
 
-def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> DataFrame:
+def _row_components(docs: DataFrame, id_col: str, text_col: str, segments=SEGMENTS, names: Names = Names()) -> DataFrame:
     """``(doc_id, version, n, node, root, component_id)`` per row of ``docs``:
     ``version`` is a hash of the text, ``root`` names the component."""
     text = text_of(F.col(f"`{text_col}`"))
     docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"),
-                       F.xxhash64(text).alias("version"))
+                       F.xxhash64(text).alias("version"), F.xxhash64(F.lit(1), text).alias("again"))
     rows = materialize(docs.mapInArrow(
-        _summaries(segments), "doc_id bigint, version bigint, n bigint, node bigint, value bigint, parity array<bigint>"),
-        "shingle-sets")
-    classes = materialize(rows.where("node IS NOT NULL").groupBy("node")
-                          .agg(F.first("n").alias("n"), F.first("value").alias("value"), F.first("parity").alias("parity"),
-                               F.min("doc_id").alias("least"), F.min("version").alias("version")), "classes")
-    keys = docs.select("text").mapInArrow(_all_keys(segments), "key bigint, node bigint")
+        _summaries(segments, names), "doc_id bigint, version bigint, again bigint, n bigint, node bigint, "
+        "second bigint, value bigint, parity array<bigint>"), "shingle-sets")
+
+    def classes_of(rows: DataFrame) -> DataFrame:
+        one = F.min(F.struct("version", "again"))
+        found = (rows.where("node IS NOT NULL").groupBy("node")
+                 .agg(F.first("n").alias("n"), F.first("value").alias("value"), F.first("parity").alias("parity"),
+                      F.min("doc_id").alias("least"), one.alias("t"), F.min("second").alias("lo"),
+                      F.max("second").alias("hi")))
+        return materialize(found.select("node", "n", "value", "parity", "least", "t.version", "t.again",
+                                        (F.col("lo") != F.col("hi")).alias("shared")), "classes")
+
+    classes = classes_of(rows)
+    shared_names = classes.where("shared").select("node").collect()  # next to none, see Names
+    if shared_names:
+        names = replace(names, shared=tuple(sorted(r.node for r in shared_names)))
+        twice = classes.where("shared").select(F.col("node"), F.lit(True).alias("twice"))
+        rows = materialize(rows.join(twice, "node", "left").withColumn(
+            "node", F.when(F.col("twice"), F.col("second")).otherwise(F.col("node"))).drop("twice"), "shingle-sets")
+        classes = classes_of(rows)
+    keys = docs.select("text").mapInArrow(_all_keys(segments, names), "key bigint, node bigint")
     group = F.shiftright("key", 2)
     shared = materialize(keys.repartition(group).sortWithinPartitions(group, "node")
                          .mapInArrow(_shared, "key bigint, node bigint, center bigint").drop("center"), "shared-keys")
@@ -609,7 +651,7 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
         groups = _merged(held.select("g", "node", "root", "n"), hot)
         links = links.unionByName(_block_links(groups, docs, classes))
     links = links.unionByName(_verified(more, docs, classes))
-    uneven = _uneven_links(docs, classes)
+    uneven = _uneven_links(docs, classes, names)
     if uneven is not None:
         links = links.unionByName(uneven)
 
@@ -618,7 +660,7 @@ def _row_components(docs: DataFrame, id_col: str, text_col: str, segments) -> Da
         .withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(linked.join(least, "root").select("node", "root", "component_id"), "named-classes")
-    return rows.drop("value", "parity").join(named, "node", "left").select(
+    return rows.drop("again", "second", "value", "parity").join(named, "node", "left").select(
         "doc_id", "version", "n", "node", "root", "component_id")
 
 
@@ -626,7 +668,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with one row of each component: the one with the smallest
     (doc_id with null last, hash of the text), of equal rows one. Rows with
     an empty set link with nothing and all stay."""
-    found = materialize(_row_components(docs, id_col, text_col, SEGMENTS), "row-components")
+    found = materialize(_row_components(docs, id_col, text_col), "row-components")
     # minima are pre-aggregated: a component may hold very many rows
     best = (found.where("root IS NOT NULL").groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),

@@ -181,6 +181,21 @@ def test_jaccard_components_match_brute_force(spark, segments, hot, monkeypatch)
     assert sum(least[c] != i for (i, _), c in zip(rows, comp, strict=True)) > 60
 
 
+@pytest.mark.parametrize("bits, segments", [(2, jaccard_join.SEGMENTS), (8, ((None, 0.02),))])
+def test_sets_with_the_same_first_name_stay_apart(spark, bits, segments):
+    """Names of few bits, which most or some sets share: the same result."""
+    rows = near_copies(random.Random(12), 150) + ODD_DOCS
+    got = jaccard_join.jaccard_components(docs_frame(spark, rows), segments=segments, name_bits=bits).collect()
+    sets = [shingle_set(t) for _, t in rows]
+    comp, least = groups(sets), {}
+    for (i, _), c in zip(rows, comp, strict=True):
+        least[c] = min(x for x in (least.get(c), i, 10**9) if x is not None)
+    exp = sorted(str((i, len(s), i if not s else None if least[c] == 10**9 else least[c]))
+                 for (i, _), s, c in zip(rows, sets, comp, strict=True))
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == exp
+    assert len({r.class_id for r in got if r.class_id is not None}) == len({frozenset(s) for s in sets if s})
+
+
 def passages(rng, n, words, changed, vocab=5000):
     """Texts of one passage with so many words replaced at random."""
     base = [f"p{rng.randrange(vocab)}" for _ in range(words)]
