@@ -3,9 +3,10 @@ G5, G6).
 
 Ratings are truncated to whole numbers first (the job's input form). Every
 rating carries ``bucket_count``: how many ratings of its item have the same
-value. The co-rating self-join on user (:func:`self_pairs`) gives one
-record per user and item pair, aggregated per pair into count, sums, sums
-of squares, dot product and the largest bucket counts.
+value. The co-rating self-join on user (:func:`listed_pairs`) gives one
+record per user and item pair, laid out by the first item, where it is
+aggregated per pair into count, sums, sums of squares, dot product and the
+largest bucket counts: ratings are shuffled in lists, pairs never.
 
 Deviations from the reference, on purpose: the sum of the second item's
 ratings is a true sum (the reference overwrote it with the last value), and
@@ -21,36 +22,41 @@ from pyspark.sql import functions as F
 from corate import ITEM, RATING, USER
 from corate.functions.measures import bucket_jaccard, nonneg_zero, pearson_from_sums
 from corate.operators.clean import truncate_ratings, with_bucket_count
-from corate.operators.pairs import DEFAULT_BLOCK_ROWS, self_pairs
+from corate.operators.pairs import LIST_ROWS, PART, listed_pairs
 from corate.session import materialize
 
 
 def co_rating_pairs(ratings: DataFrame, user: str = USER, item: str = ITEM,
                     rating: str = RATING, truncate: bool = True,
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                    block_rows: int = LIST_ROWS) -> DataFrame:
     """One row per (user, item_a < item_b) both rated by the user (J3):
-    ``user_id, item_a, item_b, r1, c1, r2, c2``."""
+    ``user_id, item_a, item_b, r1, c1, r2, c2`` (and :data:`PART`, if items
+    have so many partners that :func:`listed_pairs` parts them)."""
     r = ratings.select(user, item, rating)
     if truncate:
         r = truncate_ratings(r, rating)
-    # read by the hot-key counts and both join sides: computed and written once
+    # read by the counts and the lists: computed and written once
     rc = materialize(with_bucket_count(r, item, rating, out="_c"), "pair-rated")
 
-    j = self_pairs(rc, user, item, [rating, "_c"], block_rows=block_rows)
+    j = listed_pairs(rc, user, item, [rating, "_c"], block_rows=block_rows)
     return j.select(F.col(user), F.col(f"a_{item}").alias("item_a"), F.col(f"b_{item}").alias("item_b"),
                     F.col(f"a_{rating}").alias("r1"), F.col("a__c").alias("c1"),
-                    F.col(f"b_{rating}").alias("r2"), F.col("b__c").alias("c2"))
+                    F.col(f"b_{rating}").alias("r2"), F.col("b__c").alias("c2"), *_part(j))
+
+
+def _part(pairs: DataFrame) -> list[str]:
+    return [PART] if PART in pairs.columns else []
 
 
 def pair_aggregates(pairs: DataFrame) -> DataFrame:
     """Per pair (A6): ``n, s1, s2, q1, q2, dot, c1_max, c2_max``."""
     r1, r2 = F.col("r1"), F.col("r2")
-    return pairs.groupBy("item_a", "item_b").agg(
+    return pairs.groupBy("item_a", "item_b", *_part(pairs)).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(r1).alias("s1"), F.sum(r2).alias("s2"),
         F.sum(r1 * r1).alias("q1"), F.sum(r2 * r2).alias("q2"),
         F.sum(r1 * r2).alias("dot"),
-        F.max("c1").alias("c1_max"), F.max("c2").alias("c2_max"))
+        F.max("c1").alias("c1_max"), F.max("c2").alias("c2_max")).drop(PART)
 
 
 def pearson_col() -> F.Column:
@@ -76,7 +82,7 @@ def jaccard_col() -> F.Column:
 
 def pair_similarity(ratings: DataFrame, user: str = USER, item: str = ITEM,
                     rating: str = RATING,
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                    block_rows: int = LIST_ROWS) -> DataFrame:
     """``item_a, item_b, n, pearson, cosine, cosine_unrooted, jaccard`` for
     every co-rated pair (C3). Undefined values are NULL."""
     agg = pair_aggregates(co_rating_pairs(ratings, user, item, rating, True, block_rows))
