@@ -3,7 +3,7 @@ G5, G6).
 
 Ratings are truncated to whole numbers first (the job's input form). Every
 rating carries ``bucket_count``: how many ratings of its item have the same
-value. The co-rating self-join on user (:func:`listed_pairs`) gives one
+value. The co-rating self-join on user (:class:`PairLists`) gives one
 record per user and item pair, laid out by the first item, where it is
 aggregated per pair into count, sums, sums of squares, dot product and the
 largest bucket counts: ratings are shuffled in lists, pairs never.
@@ -22,28 +22,40 @@ from pyspark.sql import functions as F
 from corate import ITEM, RATING, USER
 from corate.functions.measures import bucket_jaccard, nonneg_zero, pearson_from_sums
 from corate.operators.clean import truncate_ratings, with_bucket_count
-from corate.operators.pairs import LIST_ROWS, PART, listed_pairs
-from corate.session import materialize
+from corate.operators.pairs import LIST_ROWS, PART, PairLists
+from corate.session import materialize, shuffles_dropped
+from corate.sinks.text import write_parquet
 
+STORE_CODEC = "zstd"
 
-def co_rating_pairs(ratings: DataFrame, user: str = USER, item: str = ITEM,
-                    rating: str = RATING, truncate: bool = True,
-                    block_rows: int = LIST_ROWS) -> DataFrame:
-    """One row per (user, item_a < item_b) both rated by the user (J3):
-    ``user_id, item_a, item_b, r1, c1, r2, c2`` (and :data:`PART`, if items
-    have so many partners that :func:`listed_pairs` parts them)."""
+
+def _lists(ratings: DataFrame, user: str, item: str, rating: str, truncate: bool, block_rows: int, **how) -> PairLists:
     r = ratings.select(user, item, rating)
     if truncate:
         r = truncate_ratings(r, rating)
     # read by the counts and the lists: computed and written once
     rc = materialize(with_bucket_count(r, item, rating, out="_c"), "pair-rated")
+    return PairLists(rc, user, item, [rating, "_c"], block_rows=block_rows, **how)
 
-    j = listed_pairs(rc, user, item, [rating, "_c"], block_rows=block_rows)
+
+def _pairs(j: DataFrame, user: str, item: str, rating: str) -> DataFrame:
     return j.select(F.col(user), F.col(f"a_{item}").alias("item_a"), F.col(f"b_{item}").alias("item_b"),
                     F.col(f"a_{rating}").alias("r1"), F.col("a__c").alias("c1"),
                     F.col(f"b_{rating}").alias("r2"), F.col("b__c").alias("c2"), *_part(j))
 
 
+def co_rating_pairs(ratings: DataFrame, user: str = USER, item: str = ITEM,
+                    rating: str = RATING, truncate: bool = True,
+                    block_rows: int = LIST_ROWS, by_item: bool = True) -> DataFrame:
+    """One row per (user, item_a < item_b) both rated by the user (J3):
+    ``user_id, item_a, item_b, r1, c1, r2, c2`` (and :data:`PART`, if items
+    have so many partners that :func:`listed_pairs` parts them). Pairs that
+    are summed by item are laid out by the first one; with ``by_item=False``
+    they stay where the user's list is, and no list is shuffled."""
+    lists = _lists(ratings, user, item, rating, truncate, block_rows, by_item=by_item)
+    return _pairs(lists.pairs(), user, item, rating)
+
+
 def _part(pairs: DataFrame) -> list[str]:
     return [PART] if PART in pairs.columns else []
 
@@ -80,13 +92,28 @@ def jaccard_col() -> F.Column:
     return bucket_jaccard(F.col("n"), F.col("c1_max"), F.col("c2_max"))
 
 
+def _similarities(agg: DataFrame) -> DataFrame:
+    return agg.select("item_a", "item_b", "n", pearson_col().alias("pearson"),
+                      cosine_col().alias("cosine"),
+                      cosine_unrooted_col().alias("cosine_unrooted"),
+                      jaccard_col().alias("jaccard"))
+
+
 def pair_similarity(ratings: DataFrame, user: str = USER, item: str = ITEM,
                     rating: str = RATING,
                     block_rows: int = LIST_ROWS) -> DataFrame:
     """``item_a, item_b, n, pearson, cosine, cosine_unrooted, jaccard`` for
     every co-rated pair (C3). Undefined values are NULL."""
-    agg = pair_aggregates(co_rating_pairs(ratings, user, item, rating, True, block_rows))
-    return agg.select("item_a", "item_b", "n", pearson_col().alias("pearson"),
-                      cosine_col().alias("cosine"),
-                      cosine_unrooted_col().alias("cosine_unrooted"),
-                      jaccard_col().alias("jaccard"))
+    return _similarities(pair_aggregates(co_rating_pairs(ratings, user, item, rating, True, block_rows)))
+
+
+def write_pair_similarity(ratings: DataFrame, path: str, user: str = USER, item: str = ITEM,
+                          rating: str = RATING, block_rows: int = LIST_ROWS) -> None:
+    """The table of :func:`pair_similarity` in its store (K4), written for one
+    share of the items after another: only a share's lists are on disk beside
+    the store."""
+    lists = _lists(ratings, user, item, rating, True, block_rows, shares=True)
+    for share in range(lists.shares):
+        found = _similarities(pair_aggregates(_pairs(lists.pairs(share), user, item, rating)))
+        with shuffles_dropped(ratings.sparkSession):
+            write_parquet(found, path, "append" if share else "overwrite", STORE_CODEC)

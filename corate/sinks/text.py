@@ -43,6 +43,6 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.select("value").write.mode(mode).text(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", codec: str | None = None) -> None:
     """Columnar store for every intermediate table (K3, K4, K6, K7)."""
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).parquet(path, compression=codec)
